@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from casemill.llm.common import fresh_path, open_fs
 
 WINDOW, GRAM = 13, 4
-CHUNK_WORDS = 800_000
+CHUNK_WORDS = 600_000
 SHARD_BYTES = 4 << 20  # of the corpus as written
 HOT, HOT_SAMPLE, HOT_LEAST = 4096, 0.01, 16
 WORDS_KEPT = 400_000
@@ -126,93 +126,162 @@ class WordHashes(dict):
 HASHES = WordHashes()
 
 
-def anchors(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows) of each passage of a document."""
-    n = len(words)
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
-    g = np.zeros(n - gram + 1, np.uint64)
-    for k in range(gram):
-        g = g * MULT + h[k : n - gram + 1 + k]
-    g = mix(g)
-    span = window - gram + 1
-    m = n - window + 1
-    least, at = g[:m].copy(), np.arange(m)
-    for k in range(1, span):
-        other = g[k : k + m]
-        less = other < least
-        least[less] = other[less]
-        at[less] = np.flatnonzero(less) + k
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return least[first], first, np.diff(np.r_[first, m])
+class Powers:
+    """Powers of an odd base and of its inverse, modulo 2**64."""
+
+    base = int(MULT)
+    up = down = np.ones(1, np.uint64)
+
+    @classmethod
+    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, 1 << 16)
+            for name, x in (("up", cls.base), ("down", pow(cls.base, -1, 1 << 64))):
+                steps = np.full(size, x, np.uint64)
+                steps[0] = 1
+                setattr(cls, name, np.multiply.accumulate(steps))
+        return cls.up[:n], cls.down[:n]
+
+
+def span_hashes(line: np.ndarray):
+    """A function of (starts, ends) that hashes these spans of the bytes, alike for equal bytes."""
+    up, down = Powers.to(len(line) + 1)
+    total = np.zeros(len(line) + 1, np.uint64)
+    np.cumsum((line.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    return lambda a, b: mix((total[b] - total[a]) * down[a])
+
+
+def window_minima(x: np.ndarray, span: int) -> np.ndarray:
+    """For each window of ``span`` values the place of the (first) least."""
+    at, width = np.arange(len(x)), 1
+    least = x
+    while width < span:
+        step = min(width, span - width)
+        left, right = least[: len(least) - step], least[step:]
+        less = right < left
+        at = np.where(less, at[step:], at[: len(at) - step])
+        least = np.where(less, right, left)
+        width += step
+    return at
 
 
 class Chunk:
-    """The distinct passages of some documents: content -> number, and what a shard needs of each."""
+    """Some documents: their words, passages, and what a shard needs of each distinct passage."""
 
-    def __init__(self, hot: np.ndarray, window: int, gram: int):
-        self.hot, self.window, self.gram = hot, window, gram
-        self.docs: list[tuple] = []  # doc_id, words, passages: (number, first window, windows)
-        self.n_words = 0
-        self.number: dict[bytes, int] = {}
-        self.key, self.low, self.high, self.windows = [], [], [], []
+    def __init__(self):
+        self.ids: list[int | None] = []
+        self.lines: list[bytes] = []
+        self.n_words: list[int] = []
+        self.total = 0
 
     def add(self, doc_id: int | None, text: str | None) -> None:
-        words = (text or "").encode("utf-8", "replace").split()
-        self.n_words += len(words)
-        passages: list[tuple[int, int, int]] = []
-        if doc_id is not None and len(words) >= self.window:
-            line = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-            starts = np.r_[0, ends[:-1] + 1]
-            keys, first, count = anchors(words, self.window, self.gram)
-            if len(self.hot):
-                place = np.minimum(np.searchsorted(self.hot, keys), len(self.hot) - 1)
-                common = self.hot[place] == keys
-                if common.any():
-                    alone = np.repeat(np.flatnonzero(common), count[common])
-                    offset = np.arange(len(alone)) - np.repeat(np.cumsum(count[common]) - count[common], count[common])
-                    single = first[alone] + offset
-                    keys = np.r_[keys[~common], np.zeros(len(single), np.uint64)]
-                    first, count = np.r_[first[~common], single], np.r_[count[~common], np.ones(len(single), np.int64)]
-            a, b = starts[first].tolist(), ends[first + count + self.window - 2].tolist()
-            for key, s, n, x, y in zip(keys.tolist(), first.tolist(), count.tolist(), a, b, strict=True):
-                passages.append((self._passage(line[x:y], key, n, doc_id), s, n))
-        self.docs.append((doc_id, words, passages))
-
-    def _passage(self, content: bytes, key: int, n: int, doc_id: int) -> int:
-        k = self.number.setdefault(content, len(self.key))
-        if k == len(self.key):
-            if not key:
-                import xxhash
-
-                key = xxhash.xxh64_intdigest(content) | 1
-            self.key.append(key)
-            self.low.append(doc_id)
-            self.high.append(doc_id)
-            self.windows.append(n)
-        elif doc_id < self.low[k]:
-            self.low[k] = doc_id
-        elif doc_id > self.high[k]:
-            self.high[k] = doc_id
-        return k
+        parts = (text or "").encode("utf-8", "replace").split()
+        self.ids.append(doc_id)
+        self.lines.append(b" ".join(parts))
+        self.n_words.append(len(parts))
+        self.total += len(parts)
+
+    def solve(self, hot: np.ndarray, window: int, gram: int) -> Chunk:
+        """Finds the passages.
+
+        ``first``, ``count`` and ``owner`` tell each one's first window, its windows and its document;
+        ``number`` which of the distinct ones it is; of these ``keys``, ``low``, ``high``, ``windows`` and
+        the span of bytes (``a`` to ``b``) are kept.
+        """
+        some = [x for x in self.lines if x]
+        self.text = b" ".join(some)
+        n = np.array(self.n_words, np.int64)
+        self.begin = np.cumsum(n) - n  # the first word of each document
+        line = np.frombuffer(self.text, np.uint8)
+        blanks = np.flatnonzero(line == 32)
+        self.starts, self.ends = (np.r_[0, blanks + 1], np.r_[blanks, len(line)]) if len(line) else (np.zeros(0, np.int64),) * 2
+        hashed = span_hashes(line)
+        # Documents with an id and the length of a window; all windows of these, in order.
+        able = np.flatnonzero((n >= window) & np.array([x is not None for x in self.ids], bool)) if len(n) else np.zeros(0, np.int64)
+        m = n[able] - window + 1
+        doc = np.repeat(able, m)
+        places = np.arange(len(doc)) - np.repeat(np.cumsum(m) - m, m) + self.begin[doc]
+        empty = np.zeros(0, np.int64)
+        self.first = self.count = self.owner = self.number = self.low = self.high = self.windows = self.a = self.b = empty
+        self.keys = np.zeros(0, np.uint64)
+        if not len(places):
+            return self
+        grams = hashed(self.starts[: len(self.starts) - gram + 1], self.ends[gram - 1 :])
+        anchor = window_minima(grams, window - gram + 1)[places]
+        new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])
+        first, owner, keys, count = places[new], doc[new], grams[anchor[new]], np.diff(np.r_[new, len(places)])
+        if len(hot):
+            common = hot[np.minimum(np.searchsorted(hot, keys), len(hot) - 1)] == keys
+            alone = np.repeat(np.flatnonzero(common), count[common])
+            single = first[alone] + np.arange(len(alone)) - np.repeat(np.cumsum(count[common]) - count[common], count[common])
+            own = hashed(self.starts[single], self.ends[single + window - 1]) | np.uint64(1)
+            keys, owner = np.r_[keys[~common], own], np.r_[owner[~common], owner[alone]]
+            first, count = np.r_[first[~common], single], np.r_[count[~common], np.ones(len(single), np.int64)]
+        a, b = self.starts[first], self.ends[first + count + window - 2]
+        _, chosen, number = np.unique(hashed(a, b), return_index=True, return_inverse=True)
+        # Equal hashes are compared in full; the odd one out is a passage of its own.
+        other = np.flatnonzero(chosen[number] != np.arange(len(a)))
+        text, like = self.text, chosen[number[other]]
+        odd = [k for k, w, x, y, z in zip(other.tolist(), a[other].tolist(), b[other].tolist(), a[like].tolist(), b[like].tolist(), strict=True) if text[w:x] != text[y:z]]
+        if odd:
+            number[odd] = len(chosen) + np.arange(len(odd))
+            chosen = np.r_[chosen, odd]
+        ids = np.array([0 if x is None else x for x in self.ids], np.int64)[owner]
+        self.low, self.high = np.full(len(chosen), np.iinfo(np.int64).max), np.full(len(chosen), np.iinfo(np.int64).min)
+        np.minimum.at(self.low, number, ids)
+        np.maximum.at(self.high, number, ids)
+        self.first, self.count, self.owner, self.number = first, count, owner, number
+        self.keys, self.windows, self.a, self.b = keys[chosen], count[chosen], a[chosen], b[chosen]
+        return self
 
     def packed(self, shards: int):
         """(shard, bytes) with the passages for each shard."""
-        if not self.key:
+        if not len(self.keys):
             return
         import zstandard
 
-        z = zstandard.ZstdCompressor(level=3)
-        key, low, high = np.array(self.key, np.uint64), np.array(self.low, np.int64), np.array(self.high, np.int64)
-        windows, texts = np.array(self.windows, np.int32), list(self.number)
-        size = np.fromiter(map(len, texts), np.int32, len(texts))
-        shard = (key % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
+        z, text = zstandard.ZstdCompressor(level=3), self.text
+        shard = (self.keys % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((self.a, shard))
         cuts = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0, True])
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            k = order[a:b]
-            head = struct.pack("<I", len(k)) + k.astype(np.uint32).tobytes() + key[k].tobytes() + low[k].tobytes() + high[k].tobytes() + windows[k].tobytes() + size[k].tobytes()
-            yield int(shard[k[0]]), z.compress(head + b"".join([texts[i] for i in k]))
+        size = (self.b - self.a).astype(np.int32)
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            k = order[x:y]
+            head = struct.pack("<I", len(k)) + b"".join(v[k].astype(t).tobytes() for v, t in zip((np.arange(len(order)), self.keys, self.low, self.high, self.windows, size), KINDS, strict=True))
+            yield int(shard[k[0]]), z.compress(head + b"".join([text[i:j] for i, j in zip(self.a[k].tolist(), self.b[k].tolist(), strict=True)]))
+
+    def kept(self, numbers: np.ndarray, sizes: np.ndarray, least: np.ndarray, window: int):
+        """(doc_id, n_words, removed spans, kept text) of each document.
+
+        ``least`` has, one after another, the least doc_ids of the windows of the passages ``numbers``.
+        """
+        gone = np.zeros(self.total + 1, np.int32)
+        if len(numbers):
+            place = np.full(len(self.keys), -1, np.int64)
+            place[numbers] = np.cumsum(sizes) - sizes
+            told = np.flatnonzero(place[self.number] >= 0)
+            count = self.count[told]
+            each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            ids = np.array([0 if x is None else x for x in self.ids], np.int64)[self.owner[told]]
+            less = least[np.repeat(place[self.number[told]], count) + each] < np.repeat(ids, count)
+            at = (np.repeat(self.first[told], count) + each)[less]
+            np.add.at(gone, at, 1)
+            np.add.at(gone, at + window, -1)
+        lost = np.cumsum(gone[:-1]) > 0
+        for doc_id, line, n, a in zip(self.ids, self.lines, self.n_words, self.begin.tolist(), strict=True):
+            own = lost[a : a + n]
+            if not own.any():
+                yield doc_id, n, [], line.decode()
+                continue
+            edges = np.flatnonzero(np.diff(np.r_[False, own, False])).tolist()
+            words, out, at = line.split(b" "), [], 0
+            for x, y in zip(edges[::2], edges[1::2], strict=True):
+                out += words[at:x]
+                at = y
+            yield doc_id, n, [{"start": x, "end": y} for x, y in zip(edges[::2], edges[1::2], strict=True)], b" ".join(out + words[at:]).decode()
+
+
+KINDS = (np.uint32, np.uint64, np.int64, np.int64, np.int32, np.int32)
 
 
 def unpacked(data: bytes):
@@ -220,7 +289,7 @@ def unpacked(data: bytes):
 
     data = zstandard.ZstdDecompressor().decompress(data)
     n, at, out = struct.unpack_from("<I", data)[0], 4, []
-    for kind in (np.uint32, np.uint64, np.int64, np.int64, np.int32, np.int32):
+    for kind in KINDS:
         out.append(np.frombuffer(data, kind, n, at))
         at += n * np.dtype(kind).itemsize
     return [*out, np.cumsum(out[-1]) - out[-1] + at, data]
@@ -275,16 +344,16 @@ def _chunks(fs, name: str, hot: np.ndarray, window: int, gram: int, most: int):
     """The chunks of a file, the same each time."""
     import pyarrow.parquet as pq
 
-    chunk = Chunk(hot, window, gram)
+    chunk = Chunk()
     with fs.open_input_file(name) as f:
         for batch in pq.ParquetFile(f).iter_batches(256, columns=["doc_id", "text"]):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 chunk.add(doc_id, text)
-                if chunk.n_words >= most:
-                    yield chunk
-                    chunk = Chunk(hot, window, gram)
-    if chunk.docs:
-        yield chunk
+                if chunk.total >= most:
+                    yield chunk.solve(hot, window, gram)
+                    chunk = Chunk()
+    if chunk.ids:
+        yield chunk.solve(hot, window, gram)
 
 
 def common_anchors(docs: DataFrame, window: int, gram: int) -> np.ndarray:
@@ -293,9 +362,9 @@ def common_anchors(docs: DataFrame, window: int, gram: int) -> np.ndarray:
     def run(batches):
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = (text or "").encode("utf-8", "replace").split()
-                if len(words) >= window:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(anchors(words, window, gram)[0]).view(np.int64))], names=["anchor"])
+                chunk = Chunk()
+                chunk.add(0, text)
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(chunk.solve(np.zeros(0, np.uint64), window, gram).keys).view(np.int64))], names=["anchor"])
 
     found = docs.sample(False, HOT_SAMPLE, 7).select("text").mapInArrow(run, "anchor long")
     top = found.groupBy("anchor").count().where(F.col("count") >= HOT_LEAST).orderBy(F.desc("count"), "anchor").limit(HOT).collect()
@@ -367,13 +436,13 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
                             for c, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                                 told.setdefault(c, []).append(x)
                 for c, chunk in enumerate(_chunks(fs, files[k][0], hot, window, gram, chunk_words)):
-                    least: dict[int, np.ndarray] = {}
+                    answers_to = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
                     for x in told.pop(c, []):
                         data = zstandard.ZstdDecompressor().decompress(x)
                         n = struct.unpack_from("<I", data)[0]
-                        ids, sizes = np.frombuffer(data, np.uint32, n, 4), np.frombuffer(data, np.int32, n, 4 + 4 * n)
-                        least.update(zip(ids.tolist(), np.split(np.frombuffer(data, np.int64, -1, 4 + 8 * n), np.cumsum(sizes)[:-1]), strict=True))
-                    out = [kept(doc, least, window) for doc in chunk.docs]
+                        for out, kind, size, at in zip(answers_to, (np.uint32, np.int32, np.int64), (n, n, -1), (4, 4 + 4 * n, 4 + 8 * n), strict=True):
+                            out.append(np.frombuffer(data, kind, size, at))
+                    out = list(chunk.kept(*map(np.concatenate, answers_to), window))
                     for a in range(0, len(out), 500):
                         part = out[a : a + 500]
                         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in part], t.type) for i, t in enumerate(schema)], schema=schema)
@@ -386,22 +455,3 @@ def _answer_files(path: str, k: int) -> list[tuple[str, int]]:
 
     fs, root = open_fs(path)
     return _files(f"{path}/file={k}") if fs.get_file_info(f"{root}/file={k}").type == pfs.FileType.Directory else []
-
-
-def kept(doc: tuple, least: dict, window: int) -> tuple:
-    """(doc_id, n_words, removed spans, kept text) of a document of a chunk."""
-    doc_id, words, passages = doc
-    gone: list[np.ndarray] = []
-    for number, start, _ in passages:
-        if number in least:
-            gone.append(start + np.flatnonzero(least[number] < doc_id))
-    spans: list[dict] = []
-    if gone and len(at := np.unique(np.concatenate(gone))):
-        first = np.flatnonzero(np.r_[True, np.diff(at) > window])
-        last = np.r_[first[1:], len(at)] - 1
-        spans = [{"start": a, "end": b} for a, b in zip(at[first].tolist(), (at[last] + window).tolist(), strict=True)]
-    out, at = [], 0
-    for s in spans:
-        out += words[at : s["start"]]
-        at = s["end"]
-    return doc_id, len(words), spans, b" ".join(out + words[at:] if spans else words).decode()

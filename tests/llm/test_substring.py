@@ -40,7 +40,10 @@ def test_against_plain(spark):
 
 def test_common_anchors_change_nothing(spark, monkeypatch):
     rows = documents(seed=3)
-    every = np.unique(np.concatenate([substring.anchors([x.encode() for x in words(t)], 13, 4)[0] for _, t, *_ in rows if len(words(t)) >= 13]))
+    chunk = substring.Chunk()
+    for i, t, *_ in rows:
+        chunk.add(i, t)
+    every = np.unique(chunk.solve(np.zeros(0, np.uint64), 13, 4).keys)
     monkeypatch.setattr(substring, "common_anchors", lambda *a: every[::2].copy())
     assert got(substring.remove_repeats(frame(spark, rows), chunk_words=500)) == plain(rows)
 
@@ -57,3 +60,22 @@ def test_automaton(known, asked):
         automaton.add(x, owner)
     want = [next((o for o, x in enumerate(known) if any(x[k : k + 4] == asked[a : a + 4] for k in range(len(x) - 3))), None) for a in range(len(asked) - 3)]
     assert automaton.first_owners(asked, 4) == want
+
+
+def test_equal_hashes_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(substring, "mix", lambda x: x & np.uint64(7))
+    chunk = substring.Chunk()
+    for i, t, *_ in documents():
+        chunk.add(i, t)
+    chunk.solve(np.zeros(0, np.uint64), 13, 4)
+    texts = [chunk.text[a:b] for a, b in zip(chunk.a.tolist(), chunk.b.tolist())]
+    for n, s, c in zip(chunk.number.tolist(), chunk.first.tolist(), chunk.count.tolist()):
+        assert texts[n] == chunk.text[chunk.starts[s] : chunk.ends[s + c + 11]]
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=40), st.integers(1, 12))
+def test_window_minima(x, span):
+    a = np.array(x, np.uint64)
+    if span <= len(x):
+        assert substring.window_minima(a, span).tolist() == [i + int(np.argmin(a[i : i + span])) for i in range(len(x) - span + 1)]
