@@ -32,29 +32,67 @@ from casemill.llm.common import fresh_path, open_fs
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
 FRAME_BYTES = 1 << 18
 MANIFEST = "_tokens.json"
-WORDS_KEPT = 400_000
+WORDS_KEPT, PARTS_KEPT = 1_000_000, 100_000
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself if it shows, else one past 255."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class Kept(dict):
+    """Values by key, made when they are first asked for; emptied when there are ``most``."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value
+
+
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 
 
 class Encoder:
     """Ids of whole texts, as bytes, by a tokenizers file.
 
-    The pre-tokenizers of these vocabularies never join what stands on two sides of a run of blanks,
-    so the ids of a text are those of its pieces (a run of blanks and the word after it), and the
-    pieces are kept.  Texts with characters for which that might not hold are encoded whole, and so
-    are those that hold a special token.
+    These vocabularies cut a text into parts before they merge, and merge each part by itself.  So the
+    ids of a text are those of its words, which are kept, and a new word costs a call of the
+    library's model for each part that is new as well.  The cutting is that of the file's own
+    pre-tokenizer, written out for ASCII and Latin letters.  Texts with other characters, or with a
+    special token, are encoded whole, as all texts are with a file of another pre-tokenizer.
     """
 
     kept: dict[str, Encoder] = {}
-    # Controls and white space other than blank, tab, line feed and carriage return.
-    ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]")
-    PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+    ODD = re.compile(f"[^\x20-\x7e\t\n\r{LETTERS}]")
+    RUNS = ("  ", " \n", "\n ", "\t", "\r")  # a text with none of these has single blanks only
+    # The two pre-tokenizers, for the characters that are not odd.
+    BYTE_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+    WORD_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
+    WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        with open(path) as f:
+            spec = json.load(f)
         self.special = [x.content for x in self.model.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.merge = self.model.model.tokenize
+        self.words, self.parts = Kept(self._word, WORDS_KEPT), Kept(self._merged, PARTS_KEPT)
+        pre, normal = spec["pre_tokenizer"] or {}, [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        steps = pre.get("pretokenizers", [])
+        plain = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
+        lower = normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"]["Regex"] == self.WORD_CUT
+        self.kind = "byte" if plain else "word" if lower else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -67,21 +105,31 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
-        if self.ODD.search(text) or any(x in text for x in self.special):
+        if self.kind is None or self.ODD.search(text) or any(x in text for x in self.special):
             return self.whole(text)
-        parts = self.PIECE.findall(text)
-        pieces = self.pieces
-        try:
-            return b"".join([pieces[x] for x in parts])
-        except KeyError:
-            pass
-        new = [x for x in dict.fromkeys(parts) if x not in pieces]
-        if len(pieces) + len(new) > WORDS_KEPT:
-            pieces.clear()
-            new = list(dict.fromkeys(parts))
-        for x in new:
-            pieces[x] = self.whole(x)
-        return b"".join([pieces[x] for x in parts])
+        if self.kind == "word":
+            return b"".join(map(self.words.__getitem__, text.split()))
+        if any(x in text for x in self.RUNS):
+            return self._parts(text)
+        head, *rest = text.split(" ")  # single blanks: each begins the part after it
+        return self._parts(head) + b"".join(map(self.words.__getitem__, rest))
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word, with the blank before it where that counts."""
+        if self.kind == "byte":
+            return self._merged(f" {word}") if word.isalpha() else self._parts(f" {word}")
+        low = word.lower()
+        if not low.isalpha():
+            return b"".join([self.words[x] if x.isalpha() else self.parts[x] for x in self.WORD_PARTS.findall(low)])
+        return self._merged(low) if low == word else self.words[low]
+
+    def _parts(self, piece: str) -> bytes:
+        return b"".join([self.words[x[1:]] if x[0] == " " and x[1:].isalpha() else self.parts[x] for x in self.BYTE_PARTS.findall(piece)])
+
+    def _merged(self, part: str) -> bytes:
+        """The ids of a part, by the library's model."""
+        found = [t.id for t in self.merge(part.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(found)}I", *found)
 
 
 def checksum(data: bytes) -> int:

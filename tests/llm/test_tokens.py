@@ -7,7 +7,11 @@ from casemill.llm import packing, tokens
 from casemill.llm.queries import tokenizer_path
 from tests.llm.helpers import DOCS, documents, frame
 
-ODD = ["", " ", "a  b", "x   y", "a\x1cb !\x1cb", "é é ́a", "l'été d'ici it's IT'S", "tab\t\tnew\n\n\nline ", "日本 語　字", "1 22 333", "<|endoftext|> a", "ΟΔΥΣΣΕΥΣ ΣΑΣ.", "İstanbul ﬁ", "…—‘q’", "\r\n x \r y", "🙂 🙂‍↔️"]
+ODD = [
+    "", " ", "a  b", "x   y", "a\x1cb !\x1cb", "é é ́a", "l'été d'ici it's IT'S we'll 'd", "tab\t\tnew\n\n\nline ", "日本　語", "1 22 333,4", "<|endoftext|> a",
+    "ΟΔΥΣΣΕΥΣ ΣΑΣ.", "İstanbul ﬁ", "…—‘q’", "\r\n x \r y", "\U0001f642 ‍↔", " lead", "trail ", "a \nb", "a\n b", "½ ² ª x×y",
+    "ÉCOLE Ÿ ǅ Ǆx ŉ ß ẞ", "a b   c", "foo_bar--baz!!?? (x)[y]{z} #$% a1b2 3c", "'" * 4 + "s 'S '", "\x00 \x7f", "a\x0bb\x0cc",
+]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
@@ -15,11 +19,38 @@ def test_pieces_equal_whole(name):
     encoder = tokens.Encoder(tokenizer_path(name))
     for t in ODD + [x[1] or "" for x in documents()] + ["".join(ODD), " ".join(ODD[::-1])]:
         assert encoder.encode(t) == encoder.whole(t)
-    tokens_kept, tokens.WORDS_KEPT = tokens.WORDS_KEPT, 3
-    try:
-        assert encoder.encode("one two three four one") == encoder.whole("one two three four one")
-    finally:
-        tokens.WORDS_KEPT = tokens_kept
+    assert encoder.kind == name.split("_")[0]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_full_caches_and_random_texts(name, monkeypatch):
+    import random
+
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 3)
+    monkeypatch.setattr(tokens, "PARTS_KEPT", 4)
+    encoder, rng = tokens.Encoder(tokenizer_path(name)), random.Random(8)
+    marks = [*"abcXYZ'stlmd.,!_-#0123  \n\t\r", "é", "É", "ñ", "Ÿ", "'s", "'ll", " the", "²", "́"]
+    for _ in range(3000):
+        t = "".join(rng.choices(marks, k=rng.randrange(30)))
+        assert encoder.encode(t) == encoder.whole(t), repr(t)
+
+
+def test_latin_letters_cut_alike():
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = tokens.Encoder(tokenizer_path(name))
+        for c in map(chr, range(0x20, 0x2B0)):
+            for t in (c, f"a{c}b", f"a {c} 1{c}", f"{c}{c}"):
+                assert encoder.encode(t) == encoder.whole(t), repr(t)
+
+
+def test_another_pre_tokenizer_is_left_alone(tmp_path):
+    import json
+
+    spec = json.load(open(tokenizer_path("byte_bpe_50k.json")))
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    encoder = tokens.Encoder(str(tmp_path / "t.json"))
+    assert encoder.kind is None and encoder.encode("a b") == encoder.whole("a b")
 
 
 def expected(rows, name, end):
