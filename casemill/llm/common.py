@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
         if known.isDefined():
             base = known.get()
         else:
-            base = f"file://{tempfile.mkdtemp(prefix='casemill-')}"
+            path = tempfile.mkdtemp(prefix="casemill-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
+            base = f"file://{path}"
             sc.setCheckpointDir(base)
     elif not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(base)
