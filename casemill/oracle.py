@@ -83,7 +83,7 @@ def _grouped(name: str, source: str, features: list[tuple[str, str]], where: str
 
 
 def _rounded(features: list[tuple[str, str]], places: int = 4) -> str:
-    return ", ".join(f"round({n}, {places}) AS {n}" for n, _ in features)
+    return ", ".join(f"round({n}, {6 if 'discount' in n else 5 if n.endswith('price__mean') else places}) AS {n}" for n, _ in features)
 
 
 def _static(flag: str) -> str:
@@ -127,8 +127,42 @@ def _profile_sql(name: str, depth: str, source: str, second: bool) -> str:
     FROM {source}"""
 
 
+def _check(name: str, status: str, table: str, message: str) -> str:
+    return f"SELECT '{name}' AS check_name, {status} AS status, '{table}' AS table_name, {message} AS message"
+
+
+def _checks(with_events: bool) -> str:
+    """The rules of all tables; the base comes twice, as itself and among the tables."""
+    fail = lambda n: f"CASE WHEN {n} > 0 THEN 'FAIL' ELSE 'PASS' END"
+    warn = lambda n: f"CASE WHEN {n} > 0 THEN 'WARNING' ELSE 'PASS' END"
+    others = "(SELECT count(*) FROM base WHERE target NOT IN (0, 1))"
+    out = [_check("target_validity", fail(others), "base", f"'0 null, ' || {others} || ' neither 0 nor 1'"), _check("row_preservation", "'PASS'", "base", "(SELECT count(*) FROM base) || ' raw, ' || (SELECT count(*) FROM base) || ' staged'").replace("'row_preservation'", "'source_to_staging_row_preservation'")]
+    tables = [("base", "base", "case_id"), ("base", "base", "case_id"), ("applprev_1", "history", "case_id, num_group1")] + [("person_2", "person", "case_id, num_group1, num_group2")] * with_events
+    for i, (name, source, grain) in enumerate(tables):
+        nulls = f"(SELECT count(*) FROM {source} WHERE case_id IS NULL)"
+        twins = f"(SELECT (SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT {grain} FROM {source})))"
+        orphans = f"(SELECT count(DISTINCT case_id) FROM {source} WHERE case_id NOT IN (SELECT case_id FROM base))"
+        negative = [f"(SELECT count(*) FROM {source} WHERE {g} < 0)" if g in grain else "0" for g in ("num_group1", "num_group2")]
+        out += [_check("required_columns", "'PASS'", name, "'all there'"), _check("null_keys", fail(nulls), name, f"{nulls} || ' rows without case_id'"), _check("duplicate_expected_grain", warn(twins), name, f"{twins} || ' duplicates by {grain}'")]
+        if i:
+            out += [_check("orphan_case_ids", fail(orphans), name, f"{orphans} || ' cases not in base'"), _check("group_identifier_validity", fail(f"{negative[0]} + {negative[1]}"), name, f"{negative[0]} || ' and ' || {negative[1]} || ' negative'")]
+    return " UNION ALL ".join(out)
+
+
 def oracle_sql() -> dict[str, str]:
     out = {
+        "quality_checks": _with(BASE, HISTORY, EVENTS) + _checks(True),
+        "quality_summary": _with(BASE, HISTORY) + f"SELECT s AS status, (SELECT count(*) FROM ({_checks(False)}) WHERE status = s) AS checks FROM (VALUES ('PASS'), ('WARNING'), ('FAIL')) AS v(s)",
+        "family_export": "SELECT f AS family, (SELECT count(*) FROM orders) AS row_count, c AS column_count, 'success' AS completion_status FROM (VALUES ('base_labels', 5), ('static_features', 8), ('previous_application_features', 21), ('person_features', 11)) AS v(f, c)",
+        "file_inventory": _with(STATIC) + """SELECT 'train_base.parquet' AS file_name, (SELECT count(*) FROM orders) AS row_count, 5 AS column_count, 'base' AS logical_family, CAST(NULL AS BIGINT) AS depth, 'case_id,target,date_decision,WEEK_NUM,MONTH' AS key_columns
+            UNION ALL SELECT 'train_applprev_1_0.parquet', (SELECT count(*) FROM lineitem WHERE l_orderkey % 2 = 0), 8, 'previous_application', 1, 'case_id,num_group1'
+            UNION ALL SELECT 'train_applprev_1_1.parquet', (SELECT count(*) FROM lineitem WHERE l_orderkey % 2 = 1), 8, 'previous_application', 1, 'case_id,num_group1'
+            UNION ALL SELECT 'train_static_0_0.parquet', (SELECT count(*) FROM static_0), 6, 'static', 0, 'case_id'""",
+        "evaluation": _with(SCORED, RANKED, DECILES) + """, g AS (SELECT score, sum(y) AS p, count(*) AS n FROM scored GROUP BY 1),
+            r AS (SELECT p, n, coalesce(sum(n - p) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS up FROM g),
+            one AS (SELECT sum(p * (below + (n - p) / 2.0)) / sum(p) / sum(n - p) AS auc, sum(p * tp / up) / sum(p) AS ap FROM r)
+            SELECT (SELECT count(*) FROM scored) AS "rows", (SELECT CAST(sum(y) AS BIGINT) FROM scored) AS positive_cases, (SELECT round(avg(y), 9) FROM scored) AS positive_rate, round(auc, 9) AS roc_auc, round(ap, 9) AS pr_auc,
+                   (SELECT round(max(abs(cp / pos - (n - cp) / (total - pos))), 9) FROM ranked) AS ks, (SELECT round(avg((score - y) * (score - y)), 9) FROM scored) AS brier_score, (SELECT round(lift, 9) FROM deciles WHERE decile = 1) AS top_decile_lift FROM one""",
         "history_features": _with(*GROUPS) + f"SELECT {COLUMNS}, {_rounded(APPLPREV)} FROM base LEFT JOIN applprev USING (case_id)",
         "event_features": _with(*GROUPS) + f"SELECT {COLUMNS}, {_rounded(PERSON)} FROM base LEFT JOIN persons USING (case_id)",
         "static_features": _with(BASE, STATIC) + f"SELECT {COLUMNS}, {_static(MISSING)} FROM base LEFT JOIN static_0 USING (case_id)",
@@ -197,8 +231,8 @@ def oracle_sql() -> dict[str, str]:
         "top_deciles": _with(SCORED, DECILES) + "SELECT decile, round(default_rate, 9) AS default_rate, round(lift, 9) AS lift, round(cumulative_positive_pct, 9) AS cumulative_positive_pct, round(cumulative_lift, 9) AS cumulative_lift FROM deciles WHERE decile IN (1, 3)",
         "score_logits": _with(SCORED) + ", c AS (SELECT case_id, CASE WHEN case_id % 10 = 0 THEN 1 - 1e-6 ELSE score END AS p FROM scored) SELECT case_id, round(ln(p / (1 - p)), 6) AS logit FROM c",
         "labelled_documents": "SELECT labels.doc_id AS case_id, CAST(quality AS BIGINT) AS target, CAST(toxic AS BIGINT) AS toxic, lang, n_chars FROM labels LEFT JOIN documents USING (doc_id)",
-        "storage_estimate": "SELECT count(*) AS row_count, 43 AS column_count, CAST(floor(count(*) * 43 * 8 * 1.35) AS BIGINT) AS bytes FROM orders",
-        "joined_validation": "SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS distinct_cases, 43 AS column_count, 0 AS missing_columns, 0 AS extra_columns, 0 AS duplicate_columns, true AS one_row_per_case, true AS lineage_matches FROM orders",
+        "storage_estimate": "SELECT count(*) AS row_count, 42 AS column_count, CAST(floor(count(*) * 42 * 8 * 1.35) AS BIGINT) AS bytes FROM orders",
+        "joined_validation": "SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS distinct_cases, 42 AS column_count, 0 AS missing_columns, 0 AS extra_columns, 0 AS duplicate_columns, true AS one_row_per_case, true AS lineage_matches FROM orders",
         "ingestion_records": "SELECT 'applprev_1' AS table_name, 'success' AS status, count(*) AS source_rows, count(*) AS loaded_rows FROM lineitem UNION ALL SELECT 'base', 'success', count(*), count(*) FROM orders UNION ALL SELECT 'static_0', 'success', count(*), count(*) FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_custkey % 7 <> 0",
         "reset_records": "SELECT 'applprev_1' AS table_name, 'success' AS status, count(*) AS loaded_rows FROM lineitem UNION ALL SELECT 'base', 'success', count(*) FROM orders",
         "semantic_categories": """WITH d AS (SELECT 'col_' || CAST(p_partkey AS VARCHAR) AS column_name, lower(p_type || ' ' || list_extract(['price', 'status', 'dpd date', 'loan', 'number of', 'tax', 'person', 'x'], p_partkey % 8 + 1)) AS t FROM part),
@@ -209,7 +243,7 @@ def oracle_sql() -> dict[str, str]:
                 WHEN regexp_matches(t, 'credit bureau|bureau|contract|loan|debt') THEN 'bureau/credit history' WHEN regexp_matches(t, 'collateral|property|real estate') THEN 'collateral/property'
                 WHEN regexp_matches(t, 'tax|registry|deduction') THEN 'tax/registry' ELSE 'ambiguous' END AS semantic_category FROM m""",
     }
-    for name in ("target_drift", "numeric_stats", "standardised", "roc_auc", "average_precision", "score_logits"):
+    for name in ("target_drift", "numeric_stats", "standardised", "roc_auc", "average_precision", "score_logits", "evaluation"):
         # _with() ends in a blank; a further expression follows it by a comma.
         out[name] = out[name].replace(") , ", "), ", 1)
     return out

@@ -24,8 +24,12 @@ def query(f):
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Floating-point columns rounded, so that the order of summation doesn't show."""
-    return df.select(*[F.round(F.col(f"`{f.name}`"), places).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema])
+    """Floating-point columns rounded, so that the order of summation doesn't show.
+
+    Means of prices and discounts get more places, at which means of few cents are no ties.
+    """
+    n = lambda name: max(places, 6) if "discount" in name else max(places, 5) if name.endswith("price__mean") else places
+    return df.select(*[F.round(F.col(f"`{f.name}`"), n(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema])
 
 
 def fresh(spark: SparkSession, name: str) -> str:
