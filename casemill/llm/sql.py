@@ -72,8 +72,8 @@ OP6 = """WITH t AS (
         FROM ranks r LEFT JOIN t a ON a.pair_id = r.pair_id AND a.k = r.k AND a.side = 0 LEFT JOIN t b ON b.pair_id = r.pair_id AND b.k = r.k AND b.side = 1),
     shared AS (SELECT pair_id, coalesce(min(k) FILTER (WHERE NOT same) - 1, max(k)) AS n FROM agree GROUP BY 1),
     shown AS (SELECT t.*, n, '<|' || role || '|>' || chr(10) || text || chr(10) AS line FROM t JOIN shared USING (pair_id)),
-    placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY pair_id, side ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM shown WHERE k > n),
-    spans AS (SELECT pair_id, side, string_agg(CAST(at + length(role) + 5 AS VARCHAR) || ':' || CAST(at + length(line) AS VARCHAR), ',' ORDER BY k) AS mask FROM placed WHERE role = 'assistant' GROUP BY 1, 2),
+    placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY pair_id, side ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM shown WHERE k > n),
+    spans AS (SELECT pair_id, side, string_agg(CAST(place + length(role) + 5 AS VARCHAR) || ':' || CAST(place + length(line) AS VARCHAR), ',' ORDER BY k) AS mask FROM placed WHERE role = 'assistant' GROUP BY 1, 2),
     texts AS (
         SELECT pair_id, max(n) AS n, count(*) FILTER (WHERE side = 0) AS na, count(*) FILTER (WHERE side = 1) AS nb, string_agg(line, '' ORDER BY k) FILTER (WHERE side = 0 AND k <= n) AS prompt,
                string_agg(line, '' ORDER BY k) FILTER (WHERE side = 0 AND k > n) AS chosen, string_agg(line, '' ORDER BY k) FILTER (WHERE side = 1 AND k > n) AS rejected FROM shown GROUP BY 1)
@@ -95,8 +95,8 @@ OP8 = f"""WITH d AS (SELECT doc_id, coalesce({_fold('text')}, []) AS w FROM docu
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 OP10 = f"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h, coalesce(html, '') AS html FROM pages),
     g AS (SELECT html, max(page_id) AS last, count(*) AS n FROM p GROUP BY 1),
-    coded AS (SELECT *, list_transform(range(0, 8), i -> CAST('0x' || substr(h, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS five FROM p)
-    SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), j -> substr('{_LETTERS}', 1 + ((five[j // 4 + 1] >> CAST(15 - 5 * (j % 4) AS BIGINT)) & 31), 1)), '') AS payload_digest,
+    coded AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(h, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS five FROM p)
+    SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda j: substr('{_LETTERS}', 1 + ((five[j // 4 + 1] >> CAST(15 - 5 * (j % 4) AS BIGINT)) & 31), 1)), '') AS payload_digest,
            CASE WHEN n > 1 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n > 1 AND page_id <> last THEN last END AS refers_to
     FROM coded JOIN g USING (html)"""
 
