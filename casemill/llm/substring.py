@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from casemill.llm.common import fresh_path, open_fs
 
 WINDOW, GRAM = 13, 4
-CHUNK_WORDS = 600_000
+CHUNK_WORDS = 400_000
 SHARD_BYTES = 4 << 20  # of the corpus as written
 HOT, HOT_SAMPLE, HOT_LEAST = 4096, 0.01, 16
 WORDS_KEPT = 400_000
@@ -181,13 +181,14 @@ class Chunk:
         self.n_words.append(len(parts))
         self.total += len(parts)
 
-    def solve(self, hot: np.ndarray, window: int, gram: int) -> Chunk:
+    def solve(self, hot: np.ndarray, window: int, gram: int, shards: int = 1) -> Chunk:
         """Finds the passages.
 
         ``first``, ``count`` and ``owner`` tell each one's first window, its windows and its document;
         ``number`` which of the distinct ones it is; of these ``keys``, ``low``, ``high``, ``windows`` and
         the span of bytes (``a`` to ``b``) are kept.
         """
+        self.shards = shards
         some = [x for x in self.lines if x]
         self.text = b" ".join(some)
         n = np.array(self.n_words, np.int64)
@@ -226,6 +227,11 @@ class Chunk:
         if odd:
             number[odd] = len(chosen) + np.arange(len(odd))
             chosen = np.r_[chosen, odd]
+        # In the order of shards, so that a shard's passages are numbered one after another.
+        order = np.lexsort((a[chosen], keys[chosen] % np.uint64(shards)))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        chosen, number = chosen[order], rank[number]
         ids = np.array([0 if x is None else x for x in self.ids], np.int64)[owner]
         self.low, self.high = np.full(len(chosen), np.iinfo(np.int64).max), np.full(len(chosen), np.iinfo(np.int64).min)
         np.minimum.at(self.low, number, ids)
@@ -234,21 +240,22 @@ class Chunk:
         self.keys, self.windows, self.a, self.b = keys[chosen], count[chosen], a[chosen], b[chosen]
         return self
 
-    def packed(self, shards: int):
-        """(shard, bytes) with the passages for each shard."""
+    def packed(self):
+        """(shard, bytes) with the passages for each shard.
+
+        Of a key 32 bits are enough: a shard compares the passages of a key in full.
+        """
         if not len(self.keys):
             return
         import zstandard
 
         z, text = zstandard.ZstdCompressor(level=3), self.text
-        shard = (self.keys % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((self.a, shard))
-        cuts = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0, True])
-        size = (self.b - self.a).astype(np.int32)
+        shard = (self.keys % np.uint64(self.shards)).astype(np.int64)
+        cuts = np.flatnonzero(np.r_[True, np.diff(shard) != 0, True]).tolist()
+        columns = [v.astype(t) for v, t in zip((self.keys >> np.uint64(32), self.low, self.high - self.low, self.windows, self.b - self.a), KINDS, strict=True)]
+        spans = [text[i:j] for i, j in zip(self.a.tolist(), self.b.tolist(), strict=True)]
         for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-            k = order[x:y]
-            head = struct.pack("<I", len(k)) + b"".join(v[k].astype(t).tobytes() for v, t in zip((np.arange(len(order)), self.keys, self.low, self.high, self.windows, size), KINDS, strict=True))
-            yield int(shard[k[0]]), z.compress(head + b"".join([text[i:j] for i, j in zip(self.a[k].tolist(), self.b[k].tolist(), strict=True)]))
+            yield int(shard[x]), z.compress(struct.pack("<II", y - x, x) + b"".join(v[x:y].tobytes() for v in columns) + b"".join(spans[x:y]))
 
     def kept(self, numbers: np.ndarray, sizes: np.ndarray, least: np.ndarray, window: int):
         """(doc_id, n_words, removed spans, kept text) of each document.
@@ -281,25 +288,26 @@ class Chunk:
             yield doc_id, n, [{"start": x, "end": y} for x, y in zip(edges[::2], edges[1::2], strict=True)], b" ".join(out + words[at:]).decode()
 
 
-KINDS = (np.uint32, np.uint64, np.int64, np.int64, np.int32, np.int32)
+KINDS = (np.uint32, np.int64, np.int64, np.int32, np.int32)
 
 
-def unpacked(data: bytes):
+def unpacked(data: bytes) -> tuple:
+    """(first number, keys, low, high, lengths, their places, the bytes) of a chunk's part of a shard."""
     import zstandard
 
     data = zstandard.ZstdDecompressor().decompress(data)
-    n, at, out = struct.unpack_from("<I", data)[0], 4, []
+    (n, first), at, out = struct.unpack_from("<II", data), 8, []
     for kind in KINDS:
         out.append(np.frombuffer(data, kind, n, at))
         at += n * np.dtype(kind).itemsize
-    return [*out, np.cumsum(out[-1]) - out[-1] + at, data]
+    key, low, more, _, size = out
+    return first, key, low, low + more, size, np.cumsum(size, dtype=np.int64) - size + at, data
 
 
 def solve_shard(parts: list, window: int) -> list[list[tuple[int, list[int]]]]:
     """For each chunk's part of a shard: (passage, least doc_id of each of its windows), where it matters."""
     out: list[list[tuple[int, list[int]]]] = [[] for _ in parts]
-    key = np.concatenate([p[1] for p in parts])
-    low, high = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+    key, low, high = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
     owner = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
     place = np.concatenate([np.arange(len(p[1])) for p in parts])
     order = np.argsort(key, kind="stable")
@@ -312,8 +320,8 @@ def solve_shard(parts: list, window: int) -> list[list[tuple[int, list[int]]]]:
         for e in order[a:b].tolist():
             k, i = int(owner[e]), int(place[e])
             p = parts[k]
-            start = int(p[6][i])
-            text = p[7][start : start + int(p[5][i])]
+            start = int(p[5][i])
+            text = p[6][start : start + int(p[4][i])]
             members.append((text, k, i, int(high[e])))
             least = int(low[e])
             if least < texts.get(text, least + 1):
@@ -328,7 +336,7 @@ def solve_shard(parts: list, window: int) -> list[list[tuple[int, list[int]]]]:
             found[text] = [least if x is None or x > least else x for x in seen]
         for text, k, i, most in members:
             if min(found[text]) < most:
-                out[k].append((int(parts[k][0][i]), found[text]))
+                out[k].append((parts[k][0] + i, found[text]))
     return out
 
 
@@ -340,7 +348,7 @@ def _files(path: str) -> list[tuple[str, int]]:
     return sorted((x.path, x.size) for x in found if x.base_name.endswith(".parquet") and x.size)
 
 
-def _chunks(fs, name: str, hot: np.ndarray, window: int, gram: int, most: int):
+def _chunks(fs, name: str, hot: np.ndarray, window: int, gram: int, shards: int, most: int):
     """The chunks of a file, the same each time."""
     import pyarrow.parquet as pq
 
@@ -350,10 +358,10 @@ def _chunks(fs, name: str, hot: np.ndarray, window: int, gram: int, most: int):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 chunk.add(doc_id, text)
                 if chunk.total >= most:
-                    yield chunk.solve(hot, window, gram)
+                    yield chunk.solve(hot, window, gram, shards)
                     chunk = Chunk()
     if chunk.ids:
-        yield chunk.solve(hot, window, gram)
+        yield chunk.solve(hot, window, gram, shards)
 
 
 def common_anchors(docs: DataFrame, window: int, gram: int) -> np.ndarray:
@@ -386,8 +394,8 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
         fs, _ = open_fs(work)
         for batch in batches:
             for k in batch.column(0).to_pylist():
-                for c, chunk in enumerate(_chunks(fs, files[k][0], hot, window, gram, chunk_words)):
-                    rows = list(chunk.packed(shards))
+                for c, chunk in enumerate(_chunks(fs, files[k][0], hot, window, gram, shards, chunk_words)):
+                    rows = list(chunk.packed())
                     yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.int32()), pa.array([c] * len(rows), pa.int32()), pa.array([s for s, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["file", "chunk", "shard", "data"])
 
     def match(batches):
@@ -435,7 +443,7 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
                         for part in pq.ParquetFile(f).iter_batches(columns=["chunk", "data"]):
                             for c, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                                 told.setdefault(c, []).append(x)
-                for c, chunk in enumerate(_chunks(fs, files[k][0], hot, window, gram, chunk_words)):
+                for c, chunk in enumerate(_chunks(fs, files[k][0], hot, window, gram, shards, chunk_words)):
                     answers_to = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
                     for x in told.pop(c, []):
                         data = zstandard.ZstdDecompressor().decompress(x)
