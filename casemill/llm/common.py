@@ -71,12 +71,14 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def hot_join(left: DataFrame, right: DataFrame, keys: list[str], *, salts: int = 128, hot: int = 1024, least: int = 64) -> DataFrame:
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], *, salts: int = 128, hot: int = 1024, least: int = 64) -> DataFrame:
     """Left join on ``keys`` (null-safe) where ``right`` has at most one row for a key.
 
-    The at most ``hot`` commonest keys of ``left`` are dealt over ``salts`` partitions, with
-    their rows of ``right`` repeated as often; every other key holds less than 1/``hot`` of the
-    rows.  Only that list of keys is broadcast, so the broadcast has a fixed bound.
+    The at most ``hot`` commonest keys of ``left`` are dealt over ``salts`` partitions by the columns
+    ``spread``, which tell their rows apart, with their rows of ``right`` repeated as often; every
+    other key holds less than 1/``hot`` of the rows.  Only that list of keys is broadcast, so the
+    broadcast has a fixed bound.  A row's partition depends on its values alone, so a task that runs
+    again deals alike.
     """
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     ks = [f"_k{i}" for i in range(len(keys))]
@@ -89,7 +91,7 @@ def hot_join(left: DataFrame, right: DataFrame, keys: list[str], *, salts: int =
         cond = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, ks, strict=True)]
         return df.join(F.broadcast(common), cond, "left").drop(*ks)
 
-    l = marked(left).withColumn("_salt", F.when(F.col("_hot"), F.floor(F.rand(7) * salts).cast("int")).otherwise(0)).drop("_hot")
+    l = marked(left).withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)).drop("_hot")
     r = (
         marked(right)
         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))

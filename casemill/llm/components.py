@@ -30,10 +30,10 @@ def star_forest(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
         # Large star: the larger neighbours of each node link to its least neighbour (or itself).
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).where("m < u")
-        large = hot_join(both.where("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.coalesce("m", "u").alias("v")).distinct()
+        large = hot_join(both.where("v > u"), least, ["u"], ["v"]).select(F.col("v").alias("u"), F.coalesce("m", "u").alias("v")).distinct()
         # Small star: the smaller neighbours of each node, and itself, link to the least of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        linked = hot_join(large, low, ["u"])
+        linked = hot_join(large, low, ["u"], ["v"])
         small = linked.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         now = _kept(small)
     raise RuntimeError(f"components didn't settle in {rounds} rounds")

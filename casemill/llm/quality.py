@@ -95,7 +95,7 @@ def common_lines(docs: DataFrame, *, min_docs: int = MIN_DOCS, share: float = SH
 
 def _losses(docs: DataFrame, limits: dict) -> DataFrame:
     """doc_id, _h, lines removed (their places) and words in them, for documents that lose any."""
-    hit = hot_join(_lines(_keyed(docs)), common_lines(docs, **limits), ["source", "_line"]).where(F.col("n_docs").isNotNull())
+    hit = hot_join(_lines(_keyed(docs)), common_lines(docs, **limits), ["source", "_line"], ["doc_id", "_at"]).where(F.col("n_docs").isNotNull())
     each = hit.groupBy("doc_id", "_h", "_at").agg(F.max("_n").alias("_n"))
     return each.groupBy(F.col("doc_id").alias("_id"), F.col("_h").alias("_hash")).agg(F.collect_list("_at").alias("_cut"), F.sum("_n").alias("_lost"))
 

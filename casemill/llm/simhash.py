@@ -254,7 +254,7 @@ def near_groups(docs: DataFrame, *, shingle: int = 4, distance: int = 4) -> Data
     nodes = written(marked.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
     roots = star_forest(links(nodes, distance=distance))
     named = nodes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    out = hot_join(marked, named, ["fp"])
+    out = hot_join(marked, named, ["fp"], ["doc_id"])
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 

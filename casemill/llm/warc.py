@@ -268,7 +268,7 @@ def typed_records(pages: DataFrame, *, min_revisit_bytes: int = 0) -> DataFrame:
     rows = rows.withColumn("_sha", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     large = rows.where(F.col("payload_bytes") >= min_revisit_bytes).select("_sha", "payload_bytes", "page_id")
     groups = large.groupBy("_sha", "payload_bytes").agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    both = hot_join(rows, groups, ["_sha", "payload_bytes"])
+    both = hot_join(rows, groups, ["_sha", "payload_bytes"], ["page_id", "url"])
     revisit = F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last"))
     return both.select(
         "page_id", "url", F.when(revisit, "revisit").otherwise("response").alias("record_type"), base32_of_hex(F.col("_sha")).alias("payload_digest"),
