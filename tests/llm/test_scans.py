@@ -74,6 +74,7 @@ SECRETS = {
     "an identifier like some_long_function_name_with_words_2 here": [],
     "D41D8CD98F00B204E9800998ECF8427E and 123E4567-E89B-12D3-A456-426614174000": [],
     "toKen=abcdef": [("assign", 0, 12)],
+    "xKjQzvWpLmNbTrYuHgFdSa someVeryLongCamelCaseIdentifier2 ABCDEFGHIJKLMNOPQRSTUVW 12345678901234567890123": [("random", 0, 22)],
     "": [],
 }
 
