@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from casemill.functions.values import as_date, days, missing_flag
 from casemill.plans.specs import FeatureSpec, by_family, by_table, declared_type, is_static
 
+SET_VALUES = 10_000
 BASE = ["case_id", "target", "date_decision", "WEEK_NUM", "MONTH"]
 
 
@@ -38,12 +39,24 @@ def _number(name: str, step: str) -> Column:
     return {"min": F.min, "mean": F.avg, "max": F.max, "std": F.stddev_samp, "sum": lambda c: F.sum(c.cast("double"))}[step](c).cast("double")
 
 
-def history_features(history: DataFrame, specs: list[FeatureSpec], *, distinct: Callable[[Column], Column] = F.count_distinct) -> tuple[DataFrame, dict[str, Callable[[Column], Column]]]:
+def distinct_ways(history: DataFrame, columns: list[str], most: int = SET_VALUES) -> dict[str, Callable[[Column], Column]]:
+    """How to count distinct values of each column.
+
+    Several exact distinct counts cost a copy of each row for each of them.  A column that has at
+    most about ``most`` values in the whole table is counted by sets instead, which are bounded so.
+    """
+    if len(columns) < 2:
+        return {c: F.count_distinct for c in columns}
+    n = history.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]).first()
+    return {c: (lambda x: F.size(F.collect_set(x))) if n[c] <= most else F.count_distinct for c in columns}
+
+
+def history_features(history: DataFrame, specs: list[FeatureSpec], *, distinct: Callable[[Column], Column] | None = None) -> tuple[DataFrame, dict[str, Callable[[Column], Column]]]:
     """(a row for each case of the history, what is left to do with the day number of the decision).
 
-    ``distinct`` may be ``lambda c: F.size(F.collect_set(c))`` where a case is known to have few
-    values: that saves the copies of rows that several exact distinct counts cost.
+    ``distinct`` sets how distinct values are counted; by default ``distinct_ways`` decides.
     """
+    ways = {} if distinct else distinct_ways(history, [s.source_columns[0] for s in specs if s.transformation == "n_distinct"])
     kinds = {f.name: f.dataType for f in history.schema}
     out, later = [], {}
     for s in specs:
@@ -51,7 +64,7 @@ def history_features(history: DataFrame, specs: list[FeatureSpec], *, distinct:
         if s.transformation == "count":
             agg = F.count(F.lit(1)).cast("double")
         elif s.transformation == "n_distinct":
-            agg = distinct(F.col(f"`{name}`")).cast("double")
+            agg = ways.get(name, distinct)(F.col(f"`{name}`")).cast("double")
         elif s.transformation.endswith("_days_before_decision"):
             day = days(F.col(f"`{name}`"), kinds[name])
             if s.transformation[:3] == "min":
@@ -73,7 +86,7 @@ def _static_column(s: FeatureSpec) -> Column:
     return missing_flag(c) if s.transformation == "is_missing" else c
 
 
-def assemble(base: DataFrame, tables: dict[str, DataFrame], specs: Iterable[FeatureSpec], *, limit: int | None = None, missing_in_source: bool = False, distinct: Callable[[Column], Column] = F.count_distinct) -> DataFrame:
+def assemble(base: DataFrame, tables: dict[str, DataFrame], specs: Iterable[FeatureSpec], *, limit: int | None = None, missing_in_source: bool = False, distinct: Callable[[Column], Column] | None = None) -> DataFrame:
     """The base columns and all features, a row for each case.
 
     A case without rows in a history has null in all its features.  ``is_missing`` is 1 where a
