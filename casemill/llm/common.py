@@ -60,6 +60,23 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
+class Held:
+    """What a Python worker holds from task to task: one thing at a time, so that idle workers stay small."""
+
+    key = value = None
+
+    @classmethod
+    def of(cls, key, make):
+        if cls.key != key:
+            cls.drop()
+            cls.key, cls.value = key, make()
+        return cls.value
+
+    @classmethod
+    def drop(cls) -> None:
+        cls.key = cls.value = None
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for each row, even within lambdas."""
     return F.transform(F.array(value), body)[0]

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casemill.llm.common import Held
+
 #: bytes -> bytes: A-Z to a-z, digits, a-z and all non-ASCII bytes as they are, the rest to blanks.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -42,8 +44,6 @@ def fold_words(text: str | None) -> list[bytes]:
 class Scanner:
     """The automaton over the windows of some items, and the scan of a document."""
 
-    kept: dict[tuple, Scanner] = {}  # by content, so that a Python worker builds each only once
-
     def __init__(self, items: list[tuple[str, list[str]]], window: int):
         import ahocorasick
 
@@ -63,11 +63,7 @@ class Scanner:
 
     @classmethod
     def of(cls, items: list[tuple[str, list[str]]], window: int) -> Scanner:
-        key = (window, hash(repr(items)))
-        if key not in cls.kept:
-            cls.kept.clear()
-            cls.kept[key] = cls(items, window)
-        return cls.kept[key]
+        return Held.of((cls, window, hash(repr(items))), lambda: cls(items, window))
 
     def scan(self, text: str | None) -> dict:
         """n_words, the hit words (by number), their items and the hit spans of the original."""

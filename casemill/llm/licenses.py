@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casemill.llm.common import Held
 from casemill.llm.decontam import fold_words
-from casemill.llm.substring import HASHES, MULT, mix
+from casemill.llm.substring import MULT, mix
 
 SHINGLE, CONTAINMENT, SURE = 5, 0.8, 1 - 1e-6
 MOST_TEMPLATE_WORDS = 2_000_000
+WORDS_KEPT = 300_000
 
 #: Well-known notices, by SPDX name.
 TEMPLATES = [
@@ -47,11 +49,21 @@ TEMPLATES = [
 ]
 
 
-def shingle_hashes(words: list[bytes], k: int = SHINGLE) -> np.ndarray:
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def shingle_hashes(words: list[bytes], hashes: WordHashes, k: int = SHINGLE) -> np.ndarray:
     n = len(words)
     if n < k:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
     g = np.zeros(n - k + 1, np.uint64)
     for i in range(k):
         g = g * MULT + h[i : n - k + 1 + i]
@@ -67,17 +79,15 @@ def bands_for(similarity: float, sure: float = SURE) -> tuple[int, int]:
 class Templates:
     """Templates with their MinHash bands, built once in each Python worker."""
 
-    kept: dict[int, Templates] = {}
-
     def __init__(self, texts: list[tuple[str, str]], containment: float):
         rng = np.random.default_rng(20240229)
-        self.containment = containment
+        self.containment, self.hashes = containment, WordHashes()
         self.items, self.buckets = [], {}
         for name, text in texts:
             words = fold_words(text)
             if len(words) < SHINGLE:
                 raise ValueError(f"a template of {name} has under {SHINGLE} words")
-            self.items.append((name, len(words), np.unique(shingle_hashes(words))))
+            self.items.append((name, len(words), np.unique(shingle_hashes(words, self.hashes))))
         self.sizes = sorted({size for _, size, _ in self.items})
         self.salts: dict[int, np.ndarray] = {}
         for size in self.sizes:
@@ -91,10 +101,7 @@ class Templates:
 
     @classmethod
     def of(cls, texts, containment: float) -> Templates:
-        key = hash((tuple(texts), containment))
-        if key not in cls.kept:
-            cls.kept[key] = cls(texts, containment)
-        return cls.kept[key]
+        return Held.of((cls, hash((tuple(texts), containment))), lambda: cls(texts, containment))
 
     def keys(self, shingles: np.ndarray, size: int):
         """The band keys of a set of shingles, for templates of ``size`` words."""
@@ -105,7 +112,7 @@ class Templates:
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(license, share of its shingles, first and last word) of the best window of each license."""
         words = fold_words(text)
-        shingles = shingle_hashes(words)
+        shingles = shingle_hashes(words, self.hashes)
         known = np.isin(shingles, self.all)
         at = np.flatnonzero(known)
         best: dict[str, tuple[float, int, int]] = {}

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from casemill.llm.common import Held
+
 KINDS = ("assign", "access", "hex", "random")
 # The patterns that a base scan must report.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -35,22 +37,22 @@ RATIO = 2.0
 
 
 class Vocabulary:
-    """A tiktoken encoding from a file of ranks; one for each Python worker."""
+    """A tiktoken encoding from a file of ranks."""
 
-    kept: dict[str, object] = {}
+    @staticmethod
+    def read(path: str):
+        import base64
 
-    @classmethod
-    def of(cls, path: str):
-        if path not in cls.kept:
-            import base64
+        import public_tokenizers
+        import tiktoken
 
-            import public_tokenizers
-            import tiktoken
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-            with open(path, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            cls.kept[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return cls.kept[path]
+    @classmethod
+    def of(cls, path: str):
+        return Held.of((cls, path), lambda: cls.read(path))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:

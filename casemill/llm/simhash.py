@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.llm.common import hot_join, written
+from casemill.llm.common import Held, hot_join, written
 from casemill.llm.components import star_forest
 
 SEED, FAN = 42, 16
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 4) -> DataFrame:
     thin = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
 
     def run(batches):
+        Held.drop()
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])

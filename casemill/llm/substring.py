@@ -38,13 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import fresh_path, open_fs
+from casemill.llm.common import Held, fresh_path, open_fs
 
 WINDOW, GRAM = 13, 4
 CHUNK_WORDS = 400_000
 SHARD_BYTES = 4 << 20  # of the corpus as written
 HOT, HOT_SAMPLE, HOT_LEAST = 4096, 0.01, 16
-WORDS_KEPT = 400_000
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,19 +112,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-HASHES = WordHashes()
-
-
 class Powers:
     """Powers of an odd base and of its inverse, modulo 2**64."""
 
@@ -352,6 +338,7 @@ def _chunks(fs, name: str, hot: np.ndarray, window: int, gram: int, shards: int,
     """The chunks of a file, the same each time."""
     import pyarrow.parquet as pq
 
+    Held.drop()
     chunk = Chunk()
     with fs.open_input_file(name) as f:
         for batch in pq.ParquetFile(f).iter_batches(256, columns=["doc_id", "text"]):

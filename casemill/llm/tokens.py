@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from casemill.llm.common import fresh_path, open_fs
+from casemill.llm.common import Held, fresh_path, open_fs
 
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
 FRAME_BYTES = 1 << 18
 MANIFEST = "_tokens.json"
-WORDS_KEPT, PARTS_KEPT = 1_000_000, 100_000
+WORDS_KEPT, PARTS_KEPT = 650_000, 100_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -70,7 +70,6 @@ class Encoder:
     special token, are encoded whole, as all texts are with a file of another pre-tokenizer.
     """
 
-    kept: dict[str, Encoder] = {}
     ODD = re.compile(f"[^\x20-\x7e\t\n\r{LETTERS}]")
     RUNS = ("  ", " \n", "\n ", "\t", "\r")  # a text with none of these has single blanks only
     # The two pre-tokenizers, for the characters that are not odd.
@@ -96,9 +95,7 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        if path not in cls.kept:
-            cls.kept[path] = cls(path)
-        return cls.kept[path]
+        return Held.of((cls, path), lambda: cls(path))
 
     def whole(self, text: str) -> bytes:
         ids = self.model.encode(text, add_special_tokens=False).ids
