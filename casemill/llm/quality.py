@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import hot_join, let, words
+from casemill.llm.common import hot_join, let, words, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS, SHARE, MIN_WORDS, MIN_LEFT = 20, 0.10, 50, 0.30
@@ -81,12 +81,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "_h", "source", F.inline(F.filter(parts, lambda x: x["_n"] > 0)))
 
 
-def common_lines(docs: DataFrame, *, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def common_lines(docs: DataFrame, lines: DataFrame, *, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
     """source, _line and n_docs of the lines above the limit of their host."""
-    keyed = _keyed(docs)
-    hosts = keyed.select("source", "_h").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("_docs"))
+    hosts = docs.select("source", "_h").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("_docs"))
     counts = (
-        _lines(keyed).select("source", "_line", "_h").distinct()
+        lines.select("source", "_line", "_h").distinct()
         .groupBy("source", "_line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
     )
     hosts = hosts.select(F.col("source").alias("_host"), "_docs")
@@ -95,7 +94,9 @@ def common_lines(docs: DataFrame, *, min_docs: int = MIN_DOCS, share: float = SH
 
 def _losses(docs: DataFrame, limits: dict) -> DataFrame:
     """doc_id, _h, lines removed (their places) and words in them, for documents that lose any."""
-    hit = hot_join(_lines(_keyed(docs)), common_lines(docs, **limits), ["source", "_line"], ["doc_id", "_at"]).where(F.col("n_docs").isNotNull())
+    keyed = _keyed(docs)
+    lines = written(_lines(keyed), "lines")  # thin, and used three times
+    hit = hot_join(lines, common_lines(keyed, lines, **limits), ["source", "_line"], ["doc_id", "_at"]).where(F.col("n_docs").isNotNull())
     each = hit.groupBy("doc_id", "_h", "_at").agg(F.max("_n").alias("_n"))
     return each.groupBy(F.col("doc_id").alias("_id"), F.col("_h").alias("_hash")).agg(F.collect_list("_at").alias("_cut"), F.sum("_n").alias("_lost"))
 
