@@ -77,6 +77,23 @@ class Held:
         cls.key = cls.value = None
 
 
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size, so that long texts don't pile up on either side.
+
+    A smaller limit that the session has stays.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = conf.get(key, None) or ""
+        if not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= most:
+            conf.set(key, str(most))
+    return df.mapInArrow(run, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for each row, even within lambdas."""
     return F.transform(F.array(value), body)[0]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.llm.common import Held
+from casemill.llm.common import Held, map_batches
 
 #: bytes -> bytes: A-Z to a-z, digits, a-z and all non-ASCII bytes as they are, the rest to blanks.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -130,7 +130,7 @@ def _scanned(docs: DataFrame, shared, window: int) -> DataFrame:
             cols += [pa.array([x[k] for x in found], t) for k, t in zip(HITS.names[1:], types, strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *cols], names=[*names, *HITS.names])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
 
 
 def _hits(rows: DataFrame, benchmark: DataFrame, window: int, shard_chars: int) -> DataFrame:

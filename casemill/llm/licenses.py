@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import Held
+from casemill.llm.common import Held, map_batches
 from casemill.llm.decontam import fold_words
 from casemill.llm.substring import MULT, mix
 
@@ -147,4 +147,4 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
             found = [[{"license": n, "share": s, "start": a, "end": b} for n, s, a, b in known.scan(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["doc_id", "licenses"])
 
-    return thin.mapInArrow(run, f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, licenses array<struct<license: string, share: double, start: int, end: int>>")
+    return map_batches(thin, run, f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, licenses array<struct<license: string, share: double, start: int, end: int>>")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.common import written
+from casemill.llm.common import map_batches, written
 from casemill.llm.tokens import Encoder
 
 PIECES = "task int, number long, doc_id long, piece int, start long, length int, ids binary, ids_crc32 long"
@@ -61,7 +61,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> Dat
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), run, PIECES)
 
 
 def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:

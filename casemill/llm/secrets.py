@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from casemill.llm.common import Held
+from casemill.llm.common import Held, map_batches
 
 KINDS = ("assign", "access", "hex", "random")
 # The patterns that a base scan must report.
@@ -108,7 +108,7 @@ def find_secrets(docs: DataFrame, *, vocabulary: str, ratio: float = RATIO) -> D
             found = [[{"kind": k, "start": a, "end": b, "secret": s} for a, b, k, s in spans_of(t, encode, ratio)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["doc_id", "secrets"])
 
-    return thin.mapInArrow(run, schema)
+    return map_batches(thin, run, schema)
 
 
 def redacted(text: str | None, spans: list[tuple[int, int, str, int]], mark: str) -> str | None:
@@ -140,4 +140,4 @@ def redact_secrets(docs: DataFrame, *, vocabulary: str, ratio: float = RATIO, ma
                 cols[chars] = pa.array([len(b) if a != b else n for a, b, n in zip(old, new, cols[chars].to_pylist(), strict=True)], cols[chars].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

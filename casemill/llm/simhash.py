@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.llm.common import Held, hot_join, written
+from casemill.llm.common import Held, hot_join, map_batches, written
 from casemill.llm.components import star_forest
 
 SEED, FAN = 42, 16
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 4) -> DataFrame:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return thin.mapInArrow(run, "doc_id long, fp long")
+    return map_batches(thin, run, "doc_id long, fp long")
 
 
 # -- the index ---------------------------------------------------------------------------------
@@ -243,7 +243,7 @@ def links(nodes: DataFrame, *, distance: int = 4, chunk: int = CHUNK) -> DataFra
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_u)), pa.array(np.concatenate(out_v))], names=["u", "v"])
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return map_batches(dealt, run, "u long, v long")
 
 
 def near_groups(docs: DataFrame, *, shingle: int = 4, distance: int = 4) -> DataFrame:

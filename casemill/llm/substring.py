@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import Held, fresh_path, open_fs
+from casemill.llm.common import Held, fresh_path, map_batches, open_fs
 
 WINDOW, GRAM = 13, 4
 CHUNK_WORDS = 400_000
@@ -361,7 +361,7 @@ def common_anchors(docs: DataFrame, window: int, gram: int) -> np.ndarray:
                 chunk.add(0, text)
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(chunk.solve(np.zeros(0, np.uint64), window, gram).keys).view(np.int64))], names=["anchor"])
 
-    found = docs.sample(False, HOT_SAMPLE, 7).select("text").mapInArrow(run, "anchor long")
+    found = map_batches(docs.sample(False, HOT_SAMPLE, 7).select("text"), run, "anchor long")
     top = found.groupBy("anchor").count().where(F.col("count") >= HOT_LEAST).orderBy(F.desc("count"), "anchor").limit(HOT).collect()
     return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
 
@@ -412,8 +412,8 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["file", "chunk", "data"])
 
-    sent = tasks.mapInArrow(send, "file int, chunk int, shard int, data binary")
-    met = sent.repartition("shard").sortWithinPartitions("shard").mapInArrow(match, "file int, chunk int, data binary")
+    sent = map_batches(tasks, send, "file int, chunk int, shard int, data binary")
+    met = map_batches(sent.repartition("shard").sortWithinPartitions("shard"), match, "file int, chunk int, data binary")
     met.repartition("file").write.partitionBy("file").option("compression", "none").parquet(answers)
 
     def cut(batches):
@@ -442,7 +442,7 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
                         part = out[a : a + 500]
                         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in part], t.type) for i, t in enumerate(schema)], schema=schema)
 
-    return tasks.mapInArrow(cut, "doc_id long, n_words long, removed array<struct<start: int, end: int>>, kept_text string")
+    return map_batches(tasks, cut, "doc_id long, n_words long, removed array<struct<start: int, end: int>>, kept_text string")
 
 
 def _answer_files(path: str, k: int) -> list[tuple[str, int]]:

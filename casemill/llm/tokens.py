@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from casemill.llm.common import Held, fresh_path, open_fs
+from casemill.llm.common import Held, fresh_path, map_batches, open_fs
 
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
 FRAME_BYTES = 1 << 18
@@ -238,7 +238,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, en
 
     thin = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
     ordered = thin.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(run, "part int, file string, docs long, tokens long").collect()  # a row for each file
+    files = map_batches(ordered, run, "part int, file string, docs long, tokens long").collect()  # a row for each file
     manifest, start = [], 0
     for _, name, n, total in sorted(tuple(r) for r in files):
         manifest.append({"file": name, "docs": n, "tokens": total, "start": start})
@@ -280,4 +280,4 @@ def read_tokens(spark: SparkSession, path: str, *, doc_ids: list[int] | None = N
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
-    return files.mapInArrow(run, schema)
+    return map_batches(files, run, schema)
