@@ -21,7 +21,10 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
 import uuid
+from array import array
+from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +60,7 @@ class Kept(dict):
         return value
 
 
+token_id = attrgetter("id")
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 
 
@@ -75,6 +79,7 @@ class Encoder:
     # The two pre-tokenizers, for the characters that are not odd.
     BYTE_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
     WORD_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
+    STOPS = (".", ",")
     WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
@@ -97,6 +102,11 @@ class Encoder:
     def of(cls, path: str) -> Encoder:
         return Held.of((cls, path), lambda: cls(path))
 
+    def forget(self) -> None:
+        """Gives back the kept words: at the end of a task, since the worker may idle after it."""
+        self.words.clear()
+        self.parts.clear()
+
     def whole(self, text: str) -> bytes:
         ids = self.model.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -113,8 +123,10 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """The ids of a word, with the blank before it where that counts."""
+        if word[-1:] in self.STOPS and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.parts[word[-1]]
         if self.kind == "byte":
-            return self._merged(f" {word}") if word.isalpha() else self._parts(f" {word}")
+            return self._merged(" " + word) if word.isalpha() else self._parts(" " + word)
         low = word.lower()
         if not low.isalpha():
             return b"".join([self.words[x] if x.isalpha() else self.parts[x] for x in self.WORD_PARTS.findall(low)])
@@ -125,8 +137,11 @@ class Encoder:
 
     def _merged(self, part: str) -> bytes:
         """The ids of a part, by the library's model."""
-        found = [t.id for t in self.merge(part.encode().decode("latin-1").translate(self.letters))]
-        return struct.pack(f"<{len(found)}I", *found)
+        plain = part.replace(" ", "\u0120") if part.isascii() and part.replace(" ", "").isalnum() else part.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", map(token_id, self.merge(plain)))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 def checksum(data: bytes) -> int:
@@ -232,6 +247,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, en
                 ids = encoder.encode(text or "") + end
                 writer.add(key, ids)
                 n, total = n + 1, total + len(ids) // 4
+        encoder.forget()
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "file": [name], "docs": [n], "tokens": [total]}, schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
