@@ -413,8 +413,9 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["file", "chunk", "data"])
 
     sent = map_batches(tasks, send, "file int, chunk int, shard int, data binary")
-    met = map_batches(sent.repartition("shard").sortWithinPartitions("shard"), match, "file int, chunk int, data binary")
-    met.repartition("file").write.partitionBy("file").option("compression", "none").parquet(answers)
+    # A task for each shard, then one for each file: both of bounded size.
+    met = map_batches(sent.repartitionById(shards, "shard"), match, "file int, chunk int, data binary")
+    met.repartitionById(max(1, len(files)), "file").write.partitionBy("file").option("compression", "none").parquet(answers)
 
     def cut(batches):
         import pyarrow.parquet as pq
@@ -450,3 +451,72 @@ def _answer_files(path: str, k: int) -> list[tuple[str, int]]:
 
     fs, root = open_fs(path)
     return _files(f"{path}/file={k}") if fs.get_file_info(f"{root}/file={k}").type == pfs.FileType.Directory else []
+
+
+# -- a bounded reference, broadcast ---------------------------------------------------------------
+
+
+def reference_shards(reference: DataFrame, shard_words: int):
+    """Lists of texts of at most ``shard_words`` words together, or one text."""
+    shard, size = [], 0
+    for (text,) in reference.select("text").where(F.col("text").isNotNull()).distinct().toLocalIterator():
+        words = text.encode("utf-8", "replace").split()
+        if words and shard and size + len(words) > shard_words:
+            yield shard
+            shard, size = [], 0
+        if words:
+            shard.append(b" ".join(words))
+            size += len(words)
+    if shard:
+        yield shard
+
+
+def remove_known(docs: DataFrame, reference: DataFrame, *, window: int = WINDOW, shard_words: int = 200_000) -> DataFrame:
+    """As ``remove_repeats``, for passages that a reference holds: doc_id, n_words, removed, kept_text.
+
+    The reference is cut into shards of bounded size; the suffix automaton of each is broadcast (as
+    its texts, from which a worker builds it once) and all documents stream through it, one shard
+    after another, each pass adding to the windows found.  A text without words is no reference.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text", F.array().cast("array<int>").alias("at"))
+    for shard in reference_shards(reference, shard_words):
+        rows = _known(rows, spark.sparkContext.broadcast(shard), window)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("kept_text", pa.string())])
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for doc_id, text, at in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                words, spans, kept, done = (text or "").encode("utf-8", "replace").split(), [], [], 0
+                for a in at:
+                    if spans and a <= spans[-1]["end"]:
+                        spans[-1]["end"] = a + window
+                    else:
+                        spans.append({"start": a, "end": a + window})
+                for s in spans:
+                    kept += words[done : s["start"]]
+                    done = s["end"]
+                out.append((doc_id, len(words), spans, b" ".join(kept + words[done:]).decode()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t.type) for i, t in enumerate(schema)], schema=schema)
+
+    return map_batches(rows, cut, "doc_id long, n_words long, removed array<struct<start: int, end: int>>, kept_text string")
+
+
+def _known(rows: DataFrame, shared, window: int) -> DataFrame:
+    def build() -> SuffixAutomaton:
+        automaton = SuffixAutomaton()
+        for text in shared.value:
+            automaton.add(text.split(b" "), True)
+        return automaton
+
+    def run(batches):
+        automaton = Held.of((SuffixAutomaton, hash(tuple(shared.value))), build)
+        for batch in batches:
+            found = []
+            for text, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                seen = automaton.first_owners((text or "").encode("utf-8", "replace").split(), window)
+                found.append(sorted({*at, *[i for i, x in enumerate(seen) if x]}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "text", "at"])
+
+    return map_batches(rows, run, "doc_id long, text string, at array<int>")

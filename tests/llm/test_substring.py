@@ -48,6 +48,20 @@ def test_common_anchors_change_nothing(spark, monkeypatch):
     assert got(substring.remove_repeats(frame(spark, rows), chunk_words=500)) == plain(rows)
 
 
+def test_known_passages(spark):
+    rows = documents(seed=5)
+    known = [(t,) for _, t, *_ in rows[::9]] + [(None,), ("",), ("too short",)]
+    ref = {tuple(words(t)[a : a + 13]) for (t,) in known for a in range(len(words(t)) - 12)}
+    want = []
+    for i, t, *_ in rows:
+        w = words(t)
+        gone = {a + k for a in range(len(w) - 12) if tuple(w[a : a + 13]) in ref for k in range(13)}
+        want.append((i, len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()))
+    for most in (200_000, 60):
+        assert got(substring.remove_known(frame(spark, rows), spark.createDataFrame(known, "text string"), shard_words=most)) == Counter(want)
+    assert substring.remove_known(frame(spark, rows), spark.createDataFrame([], "text string")).where("size(removed) > 0").count() == 0
+
+
 def test_empty(spark):
     assert substring.remove_repeats(spark.createDataFrame([], DOCS)).count() == 0
 
