@@ -31,8 +31,9 @@ def _count(test: Column) -> Column:
 def base_profile(base: DataFrame) -> DataFrame:
     """One row of counts and ranges of the base.
 
-    The rows are summed up by week and month first, and the few sums again; only the cases need a
-    distinct count over all rows, so no row is copied for several of these.
+    The rows are counted by week, month and date first, and the few counts summed again; only the
+    cases need a distinct count over all rows, so no row is copied for several of these, and none
+    sorted for the least of texts.
     """
     t, month = F.col("target"), "MONTH" in base.columns
     counts = {
@@ -40,13 +41,13 @@ def base_profile(base: DataFrame) -> DataFrame:
         "target_1_count": _count(t == 1), "target_other_count": _count(t.isNotNull() & ~t.isin(0, 1)),
     }
     by = ["WEEK_NUM", *["MONTH"] * month]
-    weekly = base.groupBy(*by).agg(*[c.alias(k) for k, c in counts.items()], F.min("date_decision").alias("_first"), F.max("date_decision").alias("_last"))
-    sums = {k: F.coalesce(F.sum(k), F.lit(0)) for k in counts} | {"date_decision_min": F.min("_first").cast("string"), "date_decision_max": F.max("_last").cast("string")}
+    daily = base.groupBy(*by, "date_decision").agg(*[c.alias(k) for k, c in counts.items()])
+    sums = {k: F.coalesce(F.sum(k), F.lit(0)) for k in counts} | {"date_decision_min": F.min("date_decision").cast("string"), "date_decision_max": F.max("date_decision").cast("string")}
     for c, k in zip(by, ("week_num", "month"), strict=False):
         sums |= {f"{k}_min": F.min(c), f"{k}_max": F.max(c), f"{k}_cardinality": F.count_distinct(c)}
     if not month:
         sums |= {k: F.lit(None).cast("int") for k in ("month_min", "month_max", "month_cardinality")}
-    out = weekly.agg(*[c.alias(k) for k, c in sums.items()]).crossJoin(base.agg(F.count_distinct("case_id").alias("total_cases")))
+    out = daily.agg(*[c.alias(k) for k, c in sums.items()]).crossJoin(base.agg(F.count_distinct("case_id").alias("total_cases")))
     known = F.col("target_0_count") + F.col("target_1_count")
     return out.withColumns({
         "duplicate_case_id_count": F.col("row_count") - F.col("total_cases"),

@@ -21,12 +21,27 @@ class Boundary:
     test_end_week: int
 
 
+def _daily(labels: DataFrame, *by: str) -> DataFrame:
+    """Counts by date.
+
+    Dates are texts, whose least and greatest Spark finds by sorting; over a row for each date that
+    costs nothing, and the pass over all rows is a hash aggregate of counts.
+    """
+    return labels.groupBy(*by, "date_decision").agg(F.count(F.lit(1)).alias("_n"), F.sum("target").alias("_pos"), F.count("target").alias("_known"))
+
+
+def _summed() -> dict[str, Column]:
+    known = F.sum("_known")
+    return {
+        "rows": F.sum("_n"), "positive_cases": F.coalesce(F.sum("_pos"), F.lit(0)).cast("long"), "default_rate": F.when(known > 0, F.sum("_pos").cast("double") / known),
+        "first": F.min("date_decision"), "last": F.max("date_decision"),
+    }
+
+
 def weekly_profile(labels: DataFrame) -> DataFrame:
     """Rows, positives, rate and dates of each week, with running counts and shares."""
-    weekly = labels.groupBy("WEEK_NUM").agg(
-        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("target"), F.lit(0)).cast("long").alias("positive_cases"), F.avg("target").alias("default_rate"),
-        F.min("date_decision").alias("min_date_decision"), F.max("date_decision").alias("max_date_decision"),
-    )
+    names = {"rows": "row_count", "first": "min_date_decision", "last": "max_date_decision"}
+    weekly = _daily(labels, "WEEK_NUM").groupBy("WEEK_NUM").agg(*[c.alias(names.get(k, k)) for k, c in _summed().items()])
     upto = Window.orderBy("WEEK_NUM").rowsBetween(Window.unboundedPreceding, 0)  # a row for each week
     total = F.sum("row_count").over(Window.partitionBy())
     return weekly.withColumn("cumulative_row_count", F.sum("row_count").over(upto)).withColumn("cumulative_pct", F.col("cumulative_row_count") / total)
@@ -58,11 +73,11 @@ def split_labels(labels: DataFrame, b: Boundary) -> DataFrame:
 
 def split_diagnostics(split: DataFrame) -> DataFrame:
     """Counts, rates and ranges of each split; null case ids count as one value."""
-    out = split.groupBy("split").agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("target"), F.lit(0)).cast("long").alias("positive_cases"), F.avg("target").alias("default_rate"),
-        F.min("date_decision").alias("date_start"), F.max("date_decision").alias("date_end"), F.min("WEEK_NUM").alias("week_start"), F.max("WEEK_NUM").alias("week_end"),
-        F.count_distinct(F.struct("case_id")).alias("unique_case_ids"),
-    )
+    names = {"first": "date_start", "last": "date_end"}
+    weeks = (F.min("WEEK_NUM").alias("week_start"), F.max("WEEK_NUM").alias("week_end"))
+    out = _daily(split, "split", "WEEK_NUM").groupBy("split").agg(*[c.alias(names.get(k, k)) for k, c in _summed().items()], *weeks)
+    unique = split.groupBy("split").agg(F.count_distinct(F.struct("case_id")).alias("unique_case_ids"))
+    out = out.join(F.broadcast(unique), "split")  # a row for each split
     return out.withColumn("row_pct", F.col("rows") / F.sum("rows").over(Window.partitionBy()))
 
 
