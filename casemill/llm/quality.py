@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from casemill.llm.common import hot_join, let, words, written
 
 SYMBOLS = "#*$%&|<>"
-MIN_DOCS, SHARE, MIN_WORDS, MIN_LEFT = 20, 0.10, 50, 0.30
+MIN_DOCS, SHARE, MIN_WORDS, MIN_LEFT = 20, 0.10, 20, 0.30
 
 
 def repeated_words(w: Column, n: int = 3) -> Column:

@@ -2,7 +2,7 @@ import struct
 import zlib
 
 import corpus_pipeline
-from casemill.llm import secrets, tokens
+from casemill.llm import quality, secrets, tokens
 from casemill.llm.queries import tokenizer_path
 from tests.llm.helpers import DOCS, documents, frame, prose, words
 from tests.llm.test_quality import plain as plain_quality
@@ -31,14 +31,14 @@ def benchmark(rows):
 
 def stages(rows, items):
     """The rows after each stage, by plain code: (doc_id, text)."""
-    _, common = plain_quality([(x[0] if x[0] is not None else -1, *x[1:]) for x in rows], 20, 0.10, 50, 0.30)
+    _, common = plain_quality([(x[0] if x[0] is not None else -1, *x[1:]) for x in rows], quality.MIN_DOCS, quality.SHARE, quality.MIN_WORDS, quality.MIN_LEFT)
     docs = []
     for i, t, *rest in rows:
         mine, _ = plain_quality([(i if i is not None else -1, t, *rest)], 10**9, 1, 0, 0)
         lines = (t or "").split("\n")
         left = [x for x in lines if (rest[1], " ".join(words(x)).lower()) not in common]
         n, lost = len(words(t)), len(words(t)) - sum(len(words(x)) for x in left)
-        if mine[0][-1] and not (lost and (n - lost < 50 or n - lost < 0.3 * n)):
+        if mine[0][-1] and not (lost and (n - lost < quality.MIN_WORDS or n - lost < quality.MIN_LEFT * n)):
             docs.append((i, "\n".join(left) if len(left) < len(lines) else t))
     out = [sorted(docs, key=str)]
     ids = [x for x in docs if x[0] is not None]

@@ -43,7 +43,7 @@ def test_report(spark):
 def test_apply(spark):
     rows = documents()
     out = quality.apply_quality(frame(spark, rows), min_docs=3).collect()
-    want, common = plain(rows, 3, 0.1, 50, 0.3)
+    want, common = plain(rows, 3, quality.SHARE, quality.MIN_WORDS, quality.MIN_LEFT)
     assert sorted(x.doc_id for x in out) == sorted(x[0] for x in want if x[-1])
     cut = [x for x in out if x.n_chars is not None and "Click here" not in x.text]
     assert common and cut and all(x.doc_id == 903 or x.n_chars for x in cut)
