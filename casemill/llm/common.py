@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 SPACES = "\t\n\x0b\x0c\r"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark takes it for, so that workers take the same."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (``spark.checkpoint.dir``).
 
@@ -33,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(base)
     elif not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(base)
-    return base.rstrip("/")
+    return qualified(spark, base)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

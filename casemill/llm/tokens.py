@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from casemill.llm.common import Held, fresh_path, map_batches, open_fs
+from casemill.llm.common import Held, fresh_path, map_batches, open_fs, qualified
 
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
 FRAME_BYTES = 1 << 18
@@ -231,7 +231,7 @@ class FileReader:
 def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, end_id: int = 1, level: int = 3) -> str:
     """Writes the ids of all documents; returns the folder of the data set."""
     spark = docs.sparkSession
-    path = (path or fresh_path(spark, "tokens")).rstrip("/")
+    path = qualified(spark, path or fresh_path(spark, "tokens"))
     end = struct.pack("<I", end_id)
 
     def run(batches):
@@ -271,7 +271,7 @@ def read_tokens(spark: SparkSession, path: str, *, doc_ids: list[int] | None = N
 
     With ``doc_ids`` only the frames that hold these documents are read and decompressed.
     """
-    path = path.rstrip("/")
+    path = qualified(spark, path)
     fs, root = open_fs(path)
     with fs.open_input_stream(f"{root}/{MANIFEST}") as f:
         manifest = json.loads(f.read())

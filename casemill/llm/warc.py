@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
-from casemill.llm.common import fresh_path, hot_join, open_fs
+from casemill.llm.common import fresh_path, hot_join, open_fs, qualified
 
 SCHEMA = "page_id bigint, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint, payload binary"
 HEAD = 2048  # bytes of a record inflated at first
@@ -280,14 +280,14 @@ def write_warc(pages: DataFrame, path: str | None = None, *, min_revisit_bytes:
     """Writes the archive of a table of pages; returns its folder."""
     spark = pages.sparkSession
     register(spark)
-    path = path or fresh_path(spark, "warc")
+    path = qualified(spark, path or fresh_path(spark, "warc"))
     typed_records(pages, min_revisit_bytes=min_revisit_bytes).write.format("warc").mode("append").option("level", level).save(path)
     return path
 
 
 def read_warc(spark, path: str, *, payload: bool = True) -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path))
 
 
 def sha1_base32(data: bytes) -> str:
