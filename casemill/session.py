@@ -37,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
         base = known.get() if known.isDefined() else own_folder()
     if not known.isDefined():
         spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+    return base.rstrip("/")  # only Spark reads and writes there, by this name
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
