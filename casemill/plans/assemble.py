@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from casemill.functions.values import as_date, days, missing_flag
 from casemill.plans.specs import FeatureSpec, by_family, by_table, declared_type, is_static
 
-SET_VALUES = 10_000
+SET_VALUES, BIT_VALUES = 10_000, 60
 BASE = ["case_id", "target", "date_decision", "WEEK_NUM", "MONTH"]
 
 
@@ -42,13 +42,35 @@ def _number(name: str, step: str) -> Column:
 def distinct_ways(history: DataFrame, columns: list[str], most: int = SET_VALUES) -> dict[str, Callable[[Column], Column]]:
     """How to count distinct values of each column.
 
-    Several exact distinct counts cost a copy of each row for each of them.  A column that has at
-    most about ``most`` values in the whole table is counted by sets instead, which are bounded so.
+    Several exact distinct counts cost a copy of each row for each of them.  A text column that has
+    few values in the whole table is counted by bits, one for each value, which a hash aggregate can
+    hold; one with at most about ``most`` by sets, which are bounded so; only the rest exactly so.
     """
-    if len(columns) < 2:
-        return {c: F.count_distinct for c in columns}
+    if not columns:
+        return {}
     n = history.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in columns]).first()
-    return {c: (lambda x: F.size(F.collect_set(x))) if n[c] <= most else F.count_distinct for c in columns}
+    few = [c for c in columns if n[c] <= BIT_VALUES // 2 and isinstance(history.schema[c].dataType, T.StringType)]
+    values = history.agg(*[F.collect_set(F.col(f"`{c}`")).alias(c) for c in few]).first() if few else {}
+    out: dict[str, Callable[[Column], Column]] = {}
+    for c in columns:
+        if c in few and len(values[c]) <= BIT_VALUES:
+            out[c] = _by_bits(sorted(values[c]))
+        else:
+            out[c] = (lambda x: F.size(F.collect_set(x))) if n[c] <= most and len(columns) > 1 else F.count_distinct
+    return out
+
+
+def _by_bits(values: list[str]) -> Callable[[Column], Column]:
+    """Counts distinct values among the given ones; null is none."""
+    if not values:
+        return lambda c: F.count(c) * 0
+    known = F.array(*map(F.lit, values))
+
+    def count(c: Column) -> Column:
+        place = (F.array_position(known, c) - 1).cast("int")
+        return F.bit_count(F.coalesce(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)), F.lit(0).cast("long")))
+
+    return count
 
 
 def history_features(history: DataFrame, specs: list[FeatureSpec], *, distinct: Callable[[Column], Column] | None = None) -> tuple[DataFrame, dict[str, Callable[[Column], Column]]]:

@@ -69,6 +69,20 @@ def test_assembly(spark):
     assert len(few) == 1 and few[0].asDict() == one
 
 
+def test_ways_to_count_distinct_values(spark, monkeypatch):
+    rows = [(i % 7, "abcde"[i * i % 5] if i % 3 else None, f"v{i % 50}", str(i)) for i in range(400)] + [(9, None, None, None)]
+    h = spark.createDataFrame(rows, "case_id long, few string, some string, many string")
+    own = [specs.FeatureSpec(f"t__{c}__n_distinct", "t_1", (c,), "n_distinct", "f", "d") for c in ("few", "some", "many")]
+    want = {k: tuple(float(len({r[i] for r in rows if r[0] == k and r[i] is not None})) for i in (1, 2, 3)) for k in {r[0] for r in rows}}
+    for bits, sets in ((60, 10_000), (60, 100), (0, 10_000), (60, 0)):
+        monkeypatch.setattr(assemble, "BIT_VALUES", bits)
+        monkeypatch.setattr(assemble.distinct_ways, "__defaults__", (sets,))
+        out, _ = assemble.history_features(h, own)
+        assert {r[0]: tuple(r)[1:] for r in out.collect()} == want
+    out, _ = assemble.history_features(h.where("case_id = 9"), own[:1])
+    assert [tuple(r) for r in out.collect()] == [(9, 0.0)]
+
+
 def test_cases_without_history_are_null(spark):
     base, tables = frames(spark)
     tables["applprev_1"] = tables["applprev_1"].where("case_id = 1")
