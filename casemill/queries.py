@@ -218,7 +218,7 @@ def feature_stats(spark, sf_dir):
 
 def _decisions(spark, sf_dir):
     own = cases.specs(spark, sf_dir)
-    layer = assemble.assemble(cases.base(spark, sf_dir), cases.tables(spark, sf_dir), own, limit=200)
+    layer = assemble.assemble(cases.base(spark, sf_dir), cases.tables(spark, sf_dir), own)
     stats = selection.feature_stats(layer, [s.feature_name for s in own])
     return selection.select_features(selection.specs_frame(spark, own), catalog.catalog_frame(spark, cases.catalog(spark, sf_dir)), stats)
 

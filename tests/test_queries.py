@@ -48,3 +48,20 @@ def test_query_without_sql_runs(spark, sf_dir, name):
 
 def test_all_sql_has_a_query():
     assert set(oracle.oracle_sql()) <= set(queries.queries())
+
+
+def test_selection_judges_all_cases(spark, sf_dir, tmp_path):
+    """A column that is constant and absent on the 200 smallest cases alone is judged by the whole table."""
+    from pyspark.sql import functions as F
+
+    for t in ("customer", "events", "lineitem"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{sf_dir}/{t}.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    edge = orders.orderBy("o_orderkey").limit(200).agg(F.max("o_orderkey")).first()[0]
+    first = F.col("o_orderkey") <= edge
+    orders.withColumn("o_totalprice", F.when(first, F.lit(1.0)).otherwise(F.col("o_totalprice"))).withColumn("o_custkey", F.when(first, F.lit(7)).otherwise(F.col("o_custkey")).cast("long")).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = queries.queries()["feature_selection"](spark, str(tmp_path)).collect()
+    price = [r for r in rows if r.source_table == "static_0" and r.transformation == "direct" and "totalprice" in r.feature_name]
+    assert price and all(r.decision == "keep" for r in price), price
+    counts = {(r.feature_family, r.decision): r.features for r in queries.queries()["selection_counts"](spark, str(tmp_path)).collect()}
+    assert counts == {k: sum((r.feature_family, r.decision) == k for r in rows) for k in {(r.feature_family, r.decision) for r in rows}}
