@@ -1,11 +1,12 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 Three base patterns find assignments, access keys and hex runs.  Then each run of 20 or more
-``[A-Za-z0-9+/_=-]`` characters that holds two of lower case, upper case and digits and overlaps none
-of these is split by a tiktoken vocabulary: text of any language yields several characters for each
-token, a random string few, so a run of less than ``ratio`` characters for each token is reported as
-``random``.  Known digests (hex of the usual lengths, UUIDs) and identifiers (words of ``WORDLIKE``
-letters on average, by separators and case, with one number at most) are excluded first.
+``[A-Za-z0-9+/_=-]`` characters with a letter, or what these patterns leave of it if that is as long,
+is split by a tiktoken vocabulary: text of any language yields several characters for each token, a
+random string few, so a run of less than ``ratio`` characters for each token is reported as
+``random``.  Known digests (hex of the usual lengths, UUIDs), identifiers (two or more words of
+``WORDLIKE`` letters on average, by separators and case, with one number at most) and pieces of the
+alphabet in order are excluded first.  Runs without a letter (numbers, rules) are not tested.
 
 Spans are of code points, end exclusive.  Edge cases: a null text counts as empty; a text of any
 length is scanned whole; repeated rows each get a row; other columns are ignored (``find_secrets``)
@@ -29,7 +30,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 HINT = re.compile(r"(?ai)passw|secret|token|api_?key")
 
+LEAST_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+JOINTS = "+/_=-"
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DIGEST = re.compile(r"(?ai)(?:0x|sha\d*[-=])?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12})")
 WORDLIKE = 4
@@ -66,24 +70,36 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return out
 
 
-def mixed(run: str) -> bool:
-    return any(c.isdigit() for c in run) + any(c.islower() for c in run) + any(c.isupper() for c in run) > 1
-
-
 def identifier(run: str) -> bool:
     words = HUMP.findall(run)
-    return sum(map(len, words)) >= WORDLIKE * len(words) and len(re.findall("[0-9]+", run)) < 2
+    return len(words) > 1 and sum(map(len, words)) >= WORDLIKE * len(words) and len(re.findall("[0-9]+", run)) < 2
+
+
+def known(run: str) -> bool:
+    return not any(c.isalpha() for c in run) or run.lower() in ALPHABET or bool(DIGEST.fullmatch(run)) or identifier(run)
+
+
+def left_of(a: int, b: int, base: list) -> list[tuple[int, int]]:
+    """What the base spans leave of (a, b), in order."""
+    out = []
+    for start, end, *_ in sorted(base):
+        if start < b and a < end:
+            out.append((a, start))
+            a = max(a, end)
+    return [(x, y) for x, y in [*out, (a, b)] if y - x >= LEAST_RUN]
 
 
 def random_spans(text: str, base: list, encode, ratio: float = RATIO) -> list[tuple[int, int, str, int]]:
     out = []
     for m in RUN.finditer(text):
-        a, b = m.span()
-        run = m[0]
-        if not mixed(run) or any(x[0] < b and a < x[1] for x in base) or DIGEST.fullmatch(run) or identifier(run):
+        if DIGEST.fullmatch(m[0]):
             continue
-        if len(run) < ratio * len(encode(run)):
-            out.append((a, b, "random", a))
+        for a, b in left_of(*m.span(), base):
+            run = text[a:b]
+            if known(run if b - a == len(m[0]) else run.strip(JOINTS)):
+                continue
+            if len(run) < ratio * len(encode(run)):
+                out.append((a, b, "random", a))
     return out
 
 

@@ -129,3 +129,22 @@ def test_licenses(spark):
     with pytest.raises(ValueError):
         licenses.Templates([("short", "one two")], 0.8)
     assert licenses.scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_random_runs_of_one_case_and_beside_base_spans():
+    import random
+
+    rng = random.Random(8)
+    encode = secrets.Vocabulary.of(tokenizer_path("byte_bpe_50k.tiktoken")).encode_ordinary
+    spans = lambda text: [(k, a, b) for a, b, k, _ in secrets.spans_of(text, encode)]
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        found = sum(spans("".join(rng.choice(letters) for _ in range(32))) == [("random", 0, 32)] for _ in range(100))
+        assert found >= 85
+    assert spans("internationalization incomprehensibilities " + "=" * 40 + " " + "-" * 30 + " abcdefghijklmnopqrstuvwxyz") == []
+    run = "Zk3v9QpX7rT2mLw8YbN4cHs6"
+    text = f"a {run}_token=abcdef b"
+    assert spans(text) == [("random", 2, 27), ("assign", 27, 39)]
+    assert run not in secrets.redacted(text, secrets.spans_of(text, encode), "[secret]")
+    assert spans(f"{'deadbeef' * 3}{run}")[:1] == [("hex", 0, 24)] and ("random", 24, 48) in spans(f"{'deadbeef' * 3}{run}")
+    assert spans("D41D8CD98F00B204E9800998ECF8427E_token=abcdef") == [("assign", 33, 45)]
+    assert spans("some_long_function_name_with_words_token=abcdef") == [("assign", 35, 47)]
