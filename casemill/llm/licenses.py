@@ -7,6 +7,10 @@ m has a Jaccard similarity of at least c / (2t - 4 + m - c) with it; ``bands_for
 bands as make a collision surer than ``SURE`` at the least similarity that verification accepts.  A
 retrieved window is verified by the exact share of the template's shingles that it holds.
 
+A notice that is spread wider than a window is found by the whole document: the template's shingles
+that it holds are counted exactly, and a license that no window gave is reported if their share is
+enough, from the first to the last of them.
+
 A band can only collide where a window holds a shingle of the template; documents without any are
 passed over before windows are made, which changes no result.
 
@@ -97,7 +101,11 @@ class Templates:
         for j, (_, size, shingles) in enumerate(self.items):
             for key in self.keys(shingles, size):
                 self.buckets.setdefault((size, key), set()).add(j)
-        self.all = np.unique(np.concatenate([x[2] for x in self.items])) if self.items else np.zeros(0, np.uint64)
+        # The distinct shingles and, by them, the templates that hold each.
+        held = np.concatenate([x[2] for x in self.items]) if self.items else np.zeros(0, np.uint64)
+        self.all, place = np.unique(held, return_inverse=True)
+        self.owners = np.repeat(np.arange(len(self.items)), [len(x[2]) for x in self.items])[np.argsort(place, kind="stable")]
+        self.first_owner = np.r_[0, np.cumsum(np.bincount(place, minlength=len(self.all)))]
 
     @classmethod
     def of(cls, texts, containment: float) -> Templates:
@@ -129,8 +137,25 @@ class Templates:
                     share = np.isin(wanted, own).mean()
                     if share >= self.containment and (share, -a) > (best.get(name, (0, 0, 0))[0], -best.get(name, (0, 0, 0))[1]):
                         best[name] = (float(share), a, b)
+        for name, x in self.spread(shingles[at], at).items() if len(at) else ():
+            best.setdefault(name, x)
         return [(name, *x) for name, x in sorted(best.items())]
 
+    def spread(self, shingles: np.ndarray, at: np.ndarray) -> dict[str, tuple[float, int, int]]:
+        """(share, first and last word) of the best template of each license in the whole document."""
+        own, where = np.unique(shingles, return_inverse=True)
+        place = np.searchsorted(self.all, own)
+        owners = [self.owners[a:b] for a, b in zip(self.first_owner[place], self.first_owner[place + 1], strict=True)]
+        shared = np.bincount(np.concatenate(owners), minlength=len(self.items))
+        best: dict[str, tuple[float, int, int]] = {}
+        for j in np.flatnonzero(shared).tolist():
+            name, _, wanted = self.items[j]
+            share = float(shared[j] / len(wanted))
+            if share >= self.containment and share > best.get(name, (0.0,))[0]:
+                mine = at[np.isin(own, wanted)[where]]
+                best[name] = (share, int(mine[0]), int(mine[-1]) + SHINGLE)
+        return best
+
 
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None, *, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id and licenses: an array of (license, share, first word, end of the window)."""

@@ -131,6 +131,43 @@ def test_licenses(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_spread_license_is_found():
+    import random
+
+    rng = random.Random(4)
+    name, notice = licenses.TEMPLATES[5]
+    w = notice.split()
+    known = licenses.Templates(licenses.TEMPLATES, 0.8)
+    for inserted in (8, 20, 30, 400):
+        for offset in range(42):
+            text = " ".join([*prose(rng, offset).split(), *w[:21], *prose(rng, inserted).split(), *w[21:], *prose(rng, 60).split()])
+            found = {x[0]: x for x in known.scan(text)}
+            assert found[name][1] >= 0.8, (inserted, offset)
+    words = folded(text)
+    _, share, a, b = found[name]
+    assert round(share, 3) == 0.895 and (a, words[b - 1]) == (41, folded(notice)[-1])
+    assert known.scan(prose(rng, 50) + " " + " ".join(w[:21])) == []
+
+
+def test_spread_license_agrees_with_the_whole_document():
+    import random
+
+    rng = random.Random(6)
+    known = licenses.Templates(licenses.TEMPLATES, 0.8)
+    grams = lambda t: {tuple(x[i : i + 5]) for x in [folded(t)] for i in range(len(x) - 4)}
+    seen = 0
+    for _ in range(300):
+        words = rng.choice(licenses.TEMPLATES)[1].split()
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(words))
+            words[at:at] = prose(rng, rng.choice([1, 30, 90])).split()
+        text = f"{prose(rng, rng.randrange(90))} {' '.join(words)} {prose(rng, 20)}"
+        want = {n for n, t in licenses.TEMPLATES if len(grams(t) & grams(text)) >= 0.8 * len(grams(t))}
+        assert {x[0] for x in known.scan(text)} == want
+        seen += bool(want)
+    assert seen >= 100
+
+
 def test_random_runs_of_one_case_and_beside_base_spans():
     import random
 
