@@ -9,6 +9,7 @@ one shard (the usual case) costs one scan; a larger one is scanned shard after s
 adding to the hits of the one before, without a shuffle.  No broadcast grows with the benchmark.
 
 Edge cases: a null or empty text has no words and no hits; an item without words has no pattern;
+an item with a null item_id is left out with all its patterns, so a text that only it holds stays clean;
 several items may share a pattern and all count; repeated document rows each get a row; other
 columns of the input are ignored (``contamination``) or kept (``drop_contaminated``).
 """
