@@ -7,7 +7,7 @@ tested against brute force.
 from __future__ import annotations
 
 from casemill.llm.licenses import CONTAINMENT, TEMPLATES
-from casemill.llm.quality import MIN_DOCS, MIN_LEFT, MIN_WORDS, SHARE
+from casemill.llm.quality import MIN_DOCS, MIN_LEFT, MIN_WORDS, MOST_DOCS, SHARE
 
 WORDS = "[^\\x20\\x09-\\x0D]+"
 FOLDED = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -53,7 +53,7 @@ OP5 = f"""WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, coalesce
     lines AS (SELECT doc_id, source, text, line, len(regexp_extract_all(line, '{WORDS}')) AS n, lower(array_to_string(regexp_extract_all(line, '{WORDS}'), ' ')) AS norm FROM raw WHERE regexp_matches(line, '{WORDS}')),
     dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY 1),
     hosts AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY 1),
-    common AS (SELECT source, norm FROM lines JOIN hosts USING (source) GROUP BY source, norm, docs HAVING count(DISTINCT text) > {MIN_DOCS} AND count(DISTINCT text) > {SHARE} * docs),
+    common AS (SELECT source, norm FROM lines JOIN hosts USING (source) GROUP BY source, norm, docs HAVING count(DISTINCT text) > least({MOST_DOCS}, greatest({MIN_DOCS}, {SHARE} * docs))),
     lost AS (SELECT doc_id, sum(n) AS n FROM lines JOIN common USING (source, norm) GROUP BY 1),
     base AS (
         SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines,

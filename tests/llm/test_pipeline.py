@@ -31,10 +31,10 @@ def benchmark(rows):
 
 def stages(rows, items):
     """The rows after each stage, by plain code: (doc_id, text)."""
-    _, common = plain_quality([(x[0] if x[0] is not None else -1, *x[1:]) for x in rows], quality.MIN_DOCS, quality.SHARE, quality.MIN_WORDS, quality.MIN_LEFT)
+    _, common = plain_quality([(x[0] if x[0] is not None else -1, *x[1:]) for x in rows], quality.MIN_DOCS, quality.SHARE, quality.MOST_DOCS, quality.MIN_WORDS, quality.MIN_LEFT)
     docs = []
     for i, t, *rest in rows:
-        mine, _ = plain_quality([(i if i is not None else -1, t, *rest)], 10**9, 1, 0, 0)
+        mine, _ = plain_quality([(i if i is not None else -1, t, *rest)], 10**9, 1, 10**9, 0, 0)
         lines = (t or "").split("\n")
         left = [x for x in lines if (rest[1], " ".join(words(x)).lower()) not in common]
         n, lost = len(words(t)), len(words(t)) - sum(len(words(x)) for x in left)
