@@ -71,7 +71,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.find_secrets(table(spark, sf_dir, "documents"), vocabulary=tokenizer_path("byte_bpe_50k.tiktoken"))
     count = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     base = F.filter("secrets", lambda s: s["kind"] != "random")
-    return out.select("doc_id", *map(count, ("assign", "access", "hex", "random")), F.sha2(F.encode(_span_list(base), "UTF-8"), 256).alias("base_sha256"), _span_list(F.col("secrets")).alias("spans"))
+    return out.select("doc_id", *map(count, ("assign", "access", "hex")), F.sha2(F.encode(_span_list(base), "UTF-8"), 256).alias("base_sha256"), _span_list(F.col("secrets")).alias("spans"), count("random"))
 
 
 def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,11 @@ Three base patterns find assignments, access keys and hex runs.  Then each run o
 ``[A-Za-z0-9+/_=-]`` characters with a letter, or what these patterns leave of it if that is as long,
 is split by a tiktoken vocabulary: text of any language yields several characters for each token, a
 random string few, so a run of less than ``ratio`` characters for each token is reported as
-``random``.  Known digests (hex of the usual lengths, UUIDs), identifiers (two or more words of
-``WORDLIKE`` letters on average, by separators and case, with one number at most) and pieces of the
-alphabet in order are excluded first.  Runs without a letter (numbers, rules) are not tested.
+``random``.  Known digests (hex of the usual lengths, UUIDs), identifiers and pieces of the alphabet
+in order are excluded first.  An identifier is two or more words of ``WORDLIKE`` letters on average,
+by separators and case, with one number at most, or ``LEAST_PARTS`` or more parts between separators,
+each a word, a number or one after the other (a name with a date, a numbered list of fields).  Runs
+without a letter (numbers, rules) are not tested.
 
 Spans are of code points, end exclusive.  Edge cases: a null text counts as empty; a text of any
 length is scanned whole; repeated rows each get a row; other columns are ignored (``find_secrets``)
@@ -36,7 +38,8 @@ JOINTS = "+/_=-"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DIGEST = re.compile(r"(?ai)(?:0x|sha\d*[-=])?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12})")
-WORDLIKE = 4
+WORDLIKE, LEAST_PARTS = 4, 4
+PART = re.compile(r"[A-Z]?[a-z]{0,12}[0-9]{0,8}|[A-Z]{1,12}[0-9]{0,8}|[0-9]{1,8}[A-Za-z]{0,2}[0-9]{0,4}")
 RATIO = 2.0
 
 
@@ -71,7 +74,9 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
 
 
 def identifier(run: str) -> bool:
-    words = HUMP.findall(run)
+    words, parts = HUMP.findall(run), [x for x in re.split("[+/_=-]", run) if x]
+    if len(parts) >= LEAST_PARTS and all(map(PART.fullmatch, parts)):
+        return True
     return len(words) > 1 and sum(map(len, words)) >= WORDLIKE * len(words) and len(re.findall("[0-9]+", run)) < 2
 
 

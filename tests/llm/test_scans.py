@@ -185,3 +185,115 @@ def test_random_runs_of_one_case_and_beside_base_spans():
     assert spans(f"{'deadbeef' * 3}{run}")[:1] == [("hex", 0, 24)] and ("random", 24, 48) in spans(f"{'deadbeef' * 3}{run}")
     assert spans("D41D8CD98F00B204E9800998ECF8427E_token=abcdef") == [("assign", 33, 45)]
     assert spans("some_long_function_name_with_words_token=abcdef") == [("assign", 35, 47)]
+
+
+def plain_secrets(text, encode):
+    """All spans, character by character and without the operator's patterns."""
+    t = text or ""
+    word, hexes, upper = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"), set("0123456789abcdef"), set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    out = []
+
+    def run(i, allowed):
+        while i < len(t) and t[i] in allowed:
+            i += 1
+        return i
+
+    i = 0
+    while i < len(t):
+        end = 0
+        for name in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            j = i + len(name)
+            if lower[i:j] != name:
+                continue
+            j += j < len(t) and t[j] in "\"'"
+            j = run(j, {" "})
+            if j == len(t) or t[j] not in ":=":
+                continue
+            j = run(j + 1, {" "})
+            j += j < len(t) and t[j] in "\"'"
+            if (k := run(j, word)) > j:
+                out += [(i, k, "assign")] * (k - j >= 6)
+                end = k
+                break
+        i = end or i + 1
+    i = 0
+    while i < len(t):
+        if t.startswith("AKIA", i) and (k := run(i + 4, upper)) > i + 4:
+            out += [(i, k, "access")] * (k - i >= 20)
+            i = k
+        else:
+            i += 1
+    i = 0
+    while i < len(t):
+        k = run(i, hexes)
+        out += [(i, k, "hex")] * (k - i >= 24)
+        i = max(k, i + 1)
+    taken = {x for a, b, _ in out for x in range(a, b)}
+    i, joints = 0, set("+/_=-")
+    while i < len(t):
+        k = run(i, word - {"."})
+        if k - i >= 20 and not secrets.DIGEST.fullmatch(t[i:k]):
+            a = i
+            while a < k:
+                b = a
+                while b < k and b not in taken:
+                    b += 1
+                part = t[a:b]
+                tested = part if (a, b) == (i, k) else part.strip("+/_=-")
+                if b - a >= 20 and any(c not in joints and not c.isdigit() for c in tested) and not harmless(tested) and len(part) / len(encode(part)) < 2:
+                    out.append((a, b, "random"))
+                a = b + 1
+        i = max(k, i + 1)
+    return sorted(out, key=lambda x: (x[0], ("assign", "access", "hex", "random").index(x[2])))
+
+
+def harmless(run):
+    return run.lower() in "abcdefghijklmnopqrstuvwxyz" or bool(secrets.DIGEST.fullmatch(run)) or secrets.identifier(run)
+
+
+def test_secrets_against_plain_code(spark):
+    """All kinds beside, within and across one another, by a scan that shares no pattern with the operator's."""
+    import random
+
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    make = (
+        lambda: rng.choice(["token", "Secret", "PASSWORD", "passwd", "api_key", "apikey", "tokens"]) + rng.choice(["=", ": ", "\"  :'", " = \"", " ", "=="]) + "".join(rng.choice(letters + "+/_.=-") for _ in range(rng.choice([2, 5, 6, 24]))),
+        lambda: "AKIA" + "".join(rng.choice("ABCXYZ019") for _ in range(rng.choice([0, 3, 15, 16, 20]))), lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([8, 23, 24, 32, 40, 64]))),
+        lambda: "".join(rng.choice(letters) for _ in range(rng.choice([12, 20, 33, 50]))), lambda: "some_identifier_of_words", lambda: rng.choice(["é日本 text", "the usual words", "\n", "=" * 25, "a" * 30, "x-1_y/2"]),
+    )
+    rows = [(i, "".join(rng.choice(make)() + rng.choice([" ", "", "_", "\n", ".", "\""]) for _ in range(rng.randrange(1, 14))), "en", "s", 1) for i in range(400)]
+    rows += [(500 + i, t, "en", "s", 1) for i, t in enumerate(SECRETS)] + [(x[0] + 1000, *x[1:]) for x in documents()] + [(3000, None, None, None, None), (3001, "", "en", "s", 0)]
+    rows += [(3002, "".join(rng.choice(letters) for _ in range(200_000)), "en", "s", 1), (3002, "tokentokentoken=" * 5000, "en", "s", 1)]
+    encode = secrets.Vocabulary.of(tokenizer_path("byte_bpe_50k.tiktoken")).encode_ordinary
+    got = sorted((x.doc_id, [(s.start, s.end, s.kind) for s in x.secrets]) for x in secrets.find_secrets(frame(spark, rows), vocabulary=tokenizer_path("byte_bpe_50k.tiktoken")).collect())
+    assert got == sorted((i, plain_secrets(t, encode)) for i, t, *_ in rows)
+    kinds = [k for _, x in got for *_, k in x]
+    assert min(kinds.count(k) for k in secrets.KINDS) >= 40
+
+
+def test_recall_and_specificity_of_the_ratio():
+    """Random strings of all usual alphabets are found, names and digests are left alone."""
+    import random
+    import string
+    import uuid
+
+    rng = random.Random(12)
+    encode = secrets.Vocabulary.of(tokenizer_path("byte_bpe_50k.tiktoken")).encode_ordinary
+    found = lambda t: any(k == "random" for _, _, k, _ in secrets.spans_of(t, encode))
+    for letters in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_"):
+        for n in (24, 32, 40, 64):
+            hits = sum(found("".join(rng.choice(letters) for _ in range(n))) for _ in range(200))
+            assert hits >= 180, (letters, n, hits)
+    words = "user account service request handler factory manager backup final report config default value index table column number result stream buffer cache".split()
+    dated = lambda: f"20{rng.randrange(10, 30)}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}"
+    pick = lambda k: [rng.choice(words) for _ in range(k)]
+    harmless = [
+        lambda: "_".join(pick(4)), lambda: "-".join(pick(4)), lambda: "".join(w.title() for w in pick(4)), lambda: "/".join(["usr", "local", *pick(3)]), lambda: f"{dated()}T10-22-33Z_{'_'.join(pick(2))}_{rng.randrange(1000):03d}_v2",
+        lambda: "_".join(f"{rng.choice(words)}_{i}" for i in range(4)), lambda: "_".join(f"{w[:3]}_{i}" for i, w in enumerate(pick(4))), lambda: "MAX_" + "_".join(pick(3)).upper(), lambda: str(uuid.UUID(int=rng.getrandbits(128))).upper(),
+        lambda: f"{rng.getrandbits(128):032X}", lambda: f"{rng.getrandbits(160):040X}", lambda: f"{rng.getrandbits(256):064X}",
+    ]
+    for k, name in enumerate(harmless):
+        wrong = [x for x in (name() for _ in range(200)) if found(f"see {x} there")]
+        assert len(wrong) <= 10, (k, len(wrong), wrong[:3])
