@@ -56,6 +56,30 @@ def test_contamination(spark, shard):
     assert sum(x[-1] for x in want) >= 2 and sum(bool(x[2]) for x in want) >= 8
 
 
+def test_blocks_at_many_places():
+    """Few words, so that blocks repeat within and across items, at every window."""
+    import random
+
+    rng = random.Random(7)
+    for window in (1, 2, 3, 5, 6, 13):
+        for size in (2, 3, 30):
+            items = [(f"q{i}", prose(rng, rng.randrange(1, 40), size)) for i in range(25)]
+            scanner = decontam.Scanner([(i, decontam.fold_words(t)) for i, t in items], window)
+            for _ in range(12):
+                text = f"{prose(rng, rng.randrange(60), size)} other {prose(rng, rng.randrange(60), size)}" + rng.choice(["", " " + rng.choice(items)[1]])
+                got = scanner.scan(text)
+                (_, n, hit, found, _), = plain([(0, text)], items, window)
+                assert (got["n_words"], tuple(got["hit_words"]), tuple(got["hit_items"])) == (n, hit, found), (window, size)
+
+
+def test_states_grow_with_the_words_of_the_benchmark():
+    import random
+
+    rng = random.Random(1)
+    items = [(str(i), decontam.fold_words(prose(rng, 60, 3000))) for i in range(500)]
+    assert decontam.Scanner(items, 13).automaton.get_stats()["nodes_count"] <= 3 * 60 * 500
+
+
 def test_no_benchmark(spark):
     rows = documents()
     none = spark.createDataFrame([], "item_id long, text string")
