@@ -9,15 +9,18 @@ fingerprint goes to one shard for each block (with more fingerprints, for each p
 blocks).  A shard sorts its fingerprints by Gray rank, so that neighbours share most bits, and
 builds a hierarchy: runs of ``FAN`` entries form a node that holds the bits on which all below it
 agree, less those that the nodes above hold already.  A search goes down with the differences
-that it has met so far and drops a whole group once they exceed the distance.  A large shard is
-cut into chunks, and pairs of chunks are searched as tasks of their own.  Shards report a spanning
-forest of their links, not all pairs.
+that it has met so far and drops a whole group once they exceed the distance.  A shard of more than
+``CHUNK`` fingerprints is dealt again, by ``distance + 1`` blocks of the bits that its key doesn't hold; one
+that is still too large, since its fingerprints crowd around a few patterns, is cut into chunks, and
+pairs of chunks are searched as groups of their own.  Shards report a spanning forest of their
+links, not all pairs.
 
 Components.  The forests of all shards are joined by star steps; all is exact.
 
 Edge cases: a null or empty text has fingerprint zero and links like any other; a text of fewer
 words than a shingle is one sequence; repeated rows each get a row; an empty table gives none;
-other columns are ignored (``near_groups``) or kept (``drop_near_copies``).
+rows that share a doc_id but not their text are judged by their own texts; other columns are ignored
+(``near_groups``) or kept (``drop_near_copies``).
 """
 
 from __future__ import annotations
@@ -28,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casemill.llm.common import Held, hot_join, map_batches, written
+from casemill.llm.common import Held, hot_join, map_batches, maybe_among, written
 from casemill.llm.components import star_forest
 
 SEED, FAN = 42, 16
-CHUNK, HOT_SHARDS = 2048, 65536
+CHUNK = 2048
 UPPER_TO_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -57,17 +60,18 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * ones > m).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, *, shingle: int = 4) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long)."""
-    thin = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
+def fingerprints(docs: DataFrame, *more: str, shingle: int = 4) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and the columns ``more``."""
+    thin = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text", *more)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), *[thin.schema[c] for c in more]])
 
     def run(batches):
         Held.drop()
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], names=schema.names)
 
-    return map_batches(thin, run, "doc_id long, fp long")
+    return map_batches(thin, run, schema)
 
 
 # -- the index ---------------------------------------------------------------------------------
@@ -184,18 +188,31 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def sub_masks(mask: int, parts: int) -> list[int]:
+    """The bits that ``mask`` lacks, in ``parts`` blocks."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(free) * i // parts for i in range(parts + 1)]
+    return [sum(1 << b for b in free[x:y]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _sized(rows: DataFrame, chunk: int) -> DataFrame:
+    """``rows`` with _n, the rows of their shard, where it holds more than ``chunk``."""
+    large = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk).select(F.col("t").alias("_t"), F.col("key").alias("_key"), "_n")
+    return rows.join(large, (F.col("t") == F.col("_t")) & (F.col("key") == F.col("_key")), "left").drop("_t", "_key")
+
+
 def links(nodes: DataFrame, *, distance: int = 4, chunk: int = CHUNK) -> DataFrame:
     """``nodes`` (fp, id; distinct fp) -> u, v: links whose components are those of all links."""
     masks = masks_for(nodes.count(), distance)
-    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in enumerate(masks)])
-    rows = nodes.select("fp", "id", F.inline(keys))
-    large = (
-        rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk).orderBy(F.desc("n"), "t", "key").limit(HOT_SHARDS)
-        .select(F.col("t").alias("_t"), F.col("key").alias("_key"), F.ceil(F.col("n") / chunk).cast("int").alias("_c"))
-    )
-    rows = rows.join(F.broadcast(large), (F.col("t") == F.col("_t")) & (F.col("key") == F.col("_key")), "left")
-    # Chunk i meets chunk j in task (min, max), and is "left" in its own and those where it is the lower.
-    c = F.coalesce("_c", F.lit(1))
+    key = lambda t, m: F.struct(t.alias("t"), F.col("fp").bitwiseAND(m).alias("key"))
+    rows = _sized(nodes.select("fp", "id", F.inline(F.array(*[key(F.lit(i), F.lit(_signed(m))) for i, m in enumerate(masks)]))), chunk)
+    # A large shard again, by one more block; linked fingerprints agree in one of these as well.
+    finer = F.array(*[F.array(*[F.lit(_signed(m | x)) for x in sub_masks(m, distance + 1)]) for m in masks])
+    again = [key(len(masks) + F.col("t") * (distance + 1) + j, F.get(F.get(finer, F.col("t")), F.lit(j))) for j in range(distance + 1)]
+    small = rows.where("_n is null").select("fp", "id", "t", "key", F.lit(None).cast("long").alias("_n"))
+    rows = small.unionByName(_sized(rows.where("_n is not null").select("fp", "id", F.inline(F.array(*again))), chunk))
+    # Chunk i meets chunk j in group (min, max), and is "left" in its own and those where it is the lower.
+    c = F.coalesce(F.ceil(F.col("_n") / chunk), F.lit(1))
     mine = F.pmod(F.xxhash64("fp"), c).cast("int")
     pair = lambda j: F.struct(F.least("_mine", j).alias("i"), F.greatest("_mine", j).alias("j"), (F.col("_mine") <= j).alias("held"), (F.col("_mine") >= j).alias("asked"))
     rows = rows.withColumn("_mine", mine).withColumn("_cc", c.cast("int")).select("fp", "id", "t", "key", F.inline(F.transform(F.sequence(F.lit(0), F.col("_cc") - 1), pair)))
@@ -246,26 +263,51 @@ def links(nodes: DataFrame, *, distance: int = 4, chunk: int = CHUNK) -> DataFra
     return map_batches(dealt, run, "u long, v long")
 
 
+def _grouped(docs: DataFrame, shingle: int, distance: int, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp and ``more`` of each row; fp, root and component_id of each fingerprint that a doc_id has)."""
+    marked = written(fingerprints(docs, *more, shingle=shingle), "fingerprints")
+    nodes = written(marked.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
+    roots = star_forest(links(by_id(nodes), distance=distance))
+    named = by_id(nodes).join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("fp", F.coalesce("root", "id").alias("root"), "_doc")
+    least = named.groupBy("root").agg(F.min("_doc").alias("component_id"))
+    return marked, hot_join(named.drop("_doc"), least, ["root"], ["fp"])
+
+
+def by_id(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (fp, id) by the fingerprint itself, since two of them may have the same least doc_id."""
+    return nodes.select("fp", F.col("fp").alias("id"), F.col("id").alias("_doc"))
+
+
 def near_groups(docs: DataFrame, *, shingle: int = 4, distance: int = 4) -> DataFrame:
     """doc_id, fp and component_id: the smallest doc_id that links of the fingerprints reach.
 
     Rows with a null doc_id take part in no link and get a null component_id.
     """
-    marked = written(fingerprints(docs, shingle=shingle), "fingerprints")
-    nodes = written(marked.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
-    roots = star_forest(links(nodes, distance=distance))
-    named = nodes.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    out = hot_join(marked, named, ["fp"], ["doc_id"])
+    marked, named = _grouped(docs, shingle, distance)
+    out = hot_join(marked, named.drop("root"), ["fp"], ["doc_id"])
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, *, shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The documents with one of each group left, that of the smallest doc_id; all columns kept.
+    """The documents with one of each group left, all columns kept.
 
-    Of repeated rows of that doc_id one stays.  Rows with a null doc_id all stay.
+    That of the smallest doc_id stays; of several rows of that doc_id in the group the one whose text
+    has the least hash, and of repeated rows of that text the least by its other columns.  Rows with
+    a null doc_id all stay.
     """
-    groups = near_groups(docs, shingle=shingle, distance=distance)
-    lost = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    names = docs.columns
-    known = docs.where(F.col("doc_id").isNotNull()).join(lost, "doc_id", "left_anti").select(*names).dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where(F.col("doc_id").isNull()))
+    own = docs.columns
+    packed = docs.select(F.struct(*own).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"))
+    marked, named = _grouped(packed, shingle, distance, "_h")
+    first = marked.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min(F.struct("doc_id", "_h")).alias("_first"))
+    kept = written(first.join(named, "fp").groupBy("root").agg(F.min("_first").alias("_first")).select("_first.*", F.lit(True).alias("_keep")), "kept")
+    rows = packed.drop("text").where(F.col("doc_id").isNotNull() & maybe_among(kept, F.xxhash64("doc_id", "_h"), F.xxhash64("doc_id", "_h")))
+    stay = hot_join(rows, kept, ["doc_id", "_h"], ["doc_id"]).where("_keep")
+    order = F.struct(*[F.col("_row")[c] for c in own if orderable(docs.schema[c].dataType)])
+    known = stay.groupBy("doc_id", "_h").agg(F.min_by("_row", order).alias("_row"))
+    return known.select("_row").unionByName(packed.where(F.col("doc_id").isNull()).select("_row")).select("_row.*")
+
+
+def orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(orderable(f.dataType) for f in kind)
+    return orderable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))

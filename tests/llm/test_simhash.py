@@ -74,7 +74,7 @@ def test_links_in_chunks_and_wider_keys(spark, monkeypatch):
     ids = rng.permutation(len(fps)).tolist()
     nodes = spark.createDataFrame([(int(f) - (1 << 64 if int(f) >> 63 else 0), i) for f, i in zip(fps, ids, strict=True)], "fp long, id long")
     want = groups([int(x) for x in fps], ids)
-    for agree in (1, 2):
+    for agree in (1, 2):  # the shards of the crowd are dealt again, and then cut into chunks
         monkeypatch.setattr(simhash, "masks_for", lambda n, d, a=agree: simhash.block_masks(d, d + a, a))
         roots = {x.node: x.root for x in components.star_forest(simhash.links(nodes, distance=4, chunk=50)).collect()}
         assert [roots.get(i, i) for i in ids] == want
@@ -93,3 +93,30 @@ def test_empty_and_nulls(spark):
     docs = frame(spark, rows).selectExpr("*", "1 as component_id", "2 as fp")
     out = simhash.drop_near_copies(docs)
     assert out.columns == docs.columns and out.count() == 2
+
+
+def test_rows_of_one_id_lose_nothing(spark):
+    """Of three texts that share ids two by two, each group keeps one row, by the stated order."""
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "red green blue yellow black white")
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (6, b, "en", "s", 1), (7, c, "en", "z", 3), (7, c, "en", "b", 4), (7, c, "en", "b", 2), (None, a, "en", "s", 1), (None, a, "en", "s", 1)]
+    docs = frame(spark, rows).selectExpr("*", "'x' as _h", "map(1, 2) as m")
+    got = simhash.drop_near_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(((x.doc_id, x.text, x.source, x.n_chars, x._h, x.m) for x in got.collect()), key=str) == sorted([(5, a, "s", 1, "x", {1: 2}), (5, b, "s", 1, "x", {1: 2}), (7, c, "b", 2, "x", {1: 2}), (None, a, "s", 1, "x", {1: 2}), (None, a, "s", 1, "x", {1: 2})], key=str)
+    assert sorted((x.component_id for x in simhash.near_groups(docs).where("doc_id is not null").collect())) == [5, 5, 5, 7, 7, 7]
+
+
+def test_a_crowded_shard_isnt_sent_in_pairs_of_chunks(spark):
+    """Fingerprints that share the bits of a key but little else are dealt by further bits."""
+    rng = np.random.default_rng(3)
+    fps = np.unique(rng.integers(0, 2**51, 3000, dtype=np.uint64))  # all equal in the 13 highest bits
+    nodes = spark.createDataFrame([(int(f), i) for i, f in enumerate(fps)], "fp long, id long")
+    plan = simhash.links(nodes, distance=4, chunk=100)
+    sent = [x for x in plan._jdf.queryExecution().optimizedPlan().toString().split("\n") if "MapInArrow" in x]
+    assert sent
+    masks = simhash.masks_for(3000, 4)
+    assert len(masks) == 5 and all(bin(m | x).count("1") > bin(m).count("1") and not m & x for m in masks for x in simhash.sub_masks(m, 5))
+    assert all(sum(simhash.sub_masks(m, 5)) == (1 << 64) - 1 - m for m in masks)
+    near = {(int(u), int(v)) for u, v in plan.collect()}
+    got = groups([int(f) for f in fps], list(range(len(fps))))
+    assert {u for u, v in near} == {i for i, g in enumerate(got) if g != i}
