@@ -1,16 +1,26 @@
 """WARC archives as a Spark data source, with deduplicated records.
 
-Files hold WARC/1.1 records, each a gzip member of its own whose header carries the ``sl`` extra
-field (skip length: bytes of the member, bytes of the record).  A reader inflates the first block
-of a member, parses the record's headers, and, where they don't meet the predicates or the payload
-isn't wanted, jumps to the next member without decoding the rest.
+Files hold WARC records, plain (``*.warc``) or each in a gzip member of its own (``*.warc.gz``).  Those
+that are written here carry the ``sl`` extra field (skip length: bytes of the member, bytes of the
+record) in each member's header.  A reader goes through a file with a buffer of bounded size; it
+parses a record's headers first, and, where they don't meet the predicates or the payload isn't
+wanted, passes over the rest: it jumps to the next member or record, or, in members without ``sl``,
+inflates on without keeping anything.
 
 ``spark.read.format("warc")`` plans partitions of whole files up to ``split_bytes``.  Filters on
 ``record_type``, ``page_id``, ``payload_digest``, ``payload_bytes`` and ``refers_to`` are pushed down to
-the headers; the option ``payload`` = ``false`` leaves payloads undecoded (and null).
+the headers; the option ``payload`` = ``false`` leaves payloads undecoded (and null).  The path is a
+folder or a file.
 
 Writers give each task attempt files of its own names; only the commit's manifest makes them part
-of the archive, so failed or repeated attempts leave nothing that a reader sees.
+of the archive, so failed or repeated attempts leave nothing that a reader sees.  A second write to a
+folder adds to its manifest, or replaces it with mode ``overwrite``.  A folder without a manifest is
+read file by file, whoever wrote it.
+
+Records of other writers: page_id and refers_to are null unless record ids are of the form used
+here; payload_bytes is that of the headers (X-Payload-Length, or Content-Length where the block isn't
+an HTTP message), else null; payloads are given for records of type response and resource, an HTTP
+message without its headers.  A record without a header block, or cut off before its end, is an error.
 """
 
 from __future__ import annotations
@@ -26,12 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
 
-from casemill.llm.common import fresh_path, hot_join, open_fs, qualified
+from casemill.llm.common import fresh_path, hot_join, maybe_among, open_fs, qualified, written
 
 SCHEMA = "page_id bigint, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint, payload binary"
-HEAD = 2048  # bytes of a record inflated at first
+HEAD, MOST_HEAD, BLOCK = 2048, 1 << 20, 1 << 16  # bytes inflated at first, of all headers of a record, read at once
 MANIFEST = "_archive.json"
-CRLF = b"\r\n"
+CRLF, GZIP = b"\r\n", b"\x1f\x8b"
 URN = "urn:page:"
 
 
@@ -82,53 +92,159 @@ def parse_head(data: bytes) -> tuple[dict[str, str], int] | None:
 
 def row_of(head: dict[str, str]) -> dict:
     def number(urn: str | None):
-        tail = (urn or "").strip("<>").removeprefix(URN)
-        return int(tail) if tail.lstrip("-").isdigit() else None
+        tail = (urn or "").strip("<>")
+        tail = tail.removeprefix(URN) if tail.startswith(URN) else ""
+        return int(tail) if tail.removeprefix("-").isdecimal() else None
 
-    size = head.get("x-payload-length")
+    size = head.get("x-payload-length") or ("" if head.get("content-type", "").startswith("application/http") else head.get("content-length"))
     return {
         "page_id": number(head.get("warc-record-id")), "url": head.get("warc-target-uri") or None, "record_type": head.get("warc-type"),
         "payload_digest": (head.get("warc-payload-digest") or "").removeprefix("sha1:") or None,
-        "payload_bytes": int(size) if size else None, "refers_to": number(head.get("warc-refers-to")), "payload": None,
+        "payload_bytes": int(size) if size and size.isdecimal() else None, "refers_to": number(head.get("warc-refers-to")), "payload": None,
     }
 
 
-def records(data: memoryview, wanted=lambda row: True, payload: bool = True, stats: dict | None = None):
+class Window:
+    """A file that is read forward through a buffer; ``read_bytes`` counts what came from the file."""
+
+    def __init__(self, file, block: int = BLOCK):
+        self.file, self.block, self.at, self.held, self.read_bytes = file, block, 0, b"", 0
+        self.size = file.size()
+
+    def peek(self, n: int) -> bytes:
+        """The next ``n`` bytes, or what is left of the file."""
+        if len(self.held) < n:
+            self.file.seek(self.at + len(self.held))
+            more = self.file.read(max(n - len(self.held), self.block))
+            self.read_bytes += len(more)
+            self.held += more
+        return self.held[:n]
+
+    def skip(self, n: int) -> None:
+        self.at += n
+        self.held = self.held[n:]
+
+    def back(self, data: bytes) -> None:
+        """``data``, the last that was skipped, comes next again."""
+        self.at -= len(data)
+        self.held = data + self.held
+
+    @property
+    def left(self) -> int:
+        return self.size - self.at
+
+
+class Member:
+    """The content of one gzip member, or of the rest of a plain file, read forward."""
+
+    def __init__(self, window: Window):
+        self.window, self.inflate, self.size, self.begin = window, None, 0, window.at
+        first = window.peek(12)
+        if first[:2] == GZIP:
+            self.inflate = zlib.decompressobj(31)
+            if len(first) == 12 and first[3] & 4:
+                extra = window.peek(12 + struct.unpack_from("<H", first, 10)[0])[12:]
+                while len(extra) >= 4:
+                    name, n = extra[:2], struct.unpack_from("<H", extra, 2)[0]
+                    if name == b"sl" and n == 8:
+                        self.size = struct.unpack_from("<I", extra, 4)[0]
+                    extra = extra[4 + n :]
+
+    def read(self, most: int) -> bytes:
+        """Up to ``most`` bytes more; empty at the end."""
+        window = self.window
+        if self.inflate is None:
+            out = window.peek(most)
+            window.skip(len(out))
+            return out
+        while not self.inflate.eof:
+            data = self.inflate.unconsumed_tail
+            if not data:
+                data = window.peek(min(window.block, self.begin + self.size - window.at) if self.size else window.block)
+                window.skip(len(data))
+            out = self.inflate.decompress(data, most)
+            if out:
+                return out
+            if not data and not self.inflate.eof:
+                raise ValueError("a gzip member that is cut off")
+        return b""
+
+    def close(self) -> None:
+        """Goes to the next member."""
+        if self.inflate is None:
+            return
+        if self.size:
+            window = self.window
+            if self.begin + self.size > window.size:
+                raise ValueError("a gzip member that is cut off")
+            window.skip(self.begin + self.size - window.at)
+            return
+        while self.read(BLOCK):
+            pass
+        self.window.back(self.inflate.unused_data)
+
+    def pass_over(self, held: bytes, n: int) -> bytes:
+        """What follows the first ``n`` bytes of ``held`` and the bytes to come."""
+        if self.inflate is None and n > len(held):
+            if n - len(held) > self.window.left:
+                raise ValueError("a record that is cut off")
+            self.window.skip(n - len(held))
+            return b""
+        while len(held) < n:
+            n -= len(held)
+            held = self.read(BLOCK)
+            if not held:
+                raise ValueError("a record that is cut off")
+        return held[n:]
+
+
+def records(file, wanted=lambda row: True, payload: bool = True, stats: dict | None = None):
     """The rows of an archive file that meet ``wanted``."""
-    at, n = 0, len(data)
-    while at < n:
-        size = length = 0
-        if data[at + 3] & 4:
-            extra = struct.unpack_from("<H", data, at + 10)[0]
-            if bytes(data[at + 12 : at + 14]) == b"sl":
-                size, length = struct.unpack_from("<II", data, at + 16)
-        inflate = zlib.decompressobj(31)
-        if not size:  # a member of some other writer: it has to be inflated to find its end
-            first = inflate.decompress(bytes(data[at:]))
-            size, length = n - at - len(inflate.unused_data), len(first)
-            parsed = parse_head(first)
-        else:
-            first, parsed, most = b"", None, HEAD
-            rest = data[at : at + size]
-            while parsed is None and not inflate.eof:
-                first += inflate.decompress(rest, most)
-                rest, most = inflate.unconsumed_tail, most * 4
-                parsed = parse_head(first)
-        at += size
-        if parsed is None:
-            raise ValueError("a record without headers")
-        head, start = parsed
-        row = row_of(head)
-        if not wanted(row):
+    window = Window(file)
+    while window.left > 0:
+        if window.peek(1) in (b"\r", b"\n"):  # between the records of a plain file
+            window.skip(1)
             continue
-        if payload and row["record_type"] == "response":
-            if len(first) < length:
-                first += inflate.decompress(rest) + inflate.flush()
-            block = first[start : start + int(head["content-length"])]
-            row["payload"] = block[block.index(CRLF + CRLF) + 4 :] if head.get("content-type", "").startswith("application/http") else block
-            if stats is not None:
-                stats["decoded"] = stats.get("decoded", 0) + 1
-        yield row
+        part, held = Member(window), b""
+        while True:  # a member may hold several records
+            while (parsed := parse_head(held)) is None and len(held) < MOST_HEAD and (more := part.read(HEAD)):
+                held = (held + more).lstrip(CRLF) if not held else held + more
+            if parsed is None:
+                if held:
+                    raise ValueError("a record without headers")
+                break
+            head, start = parsed
+            row, length = row_of(head), int(head.get("content-length") or 0)
+            held = held[start:]
+            wants = wanted(row)
+            if wants and payload and row["record_type"] in ("response", "resource"):
+                blocks, missing = [held], length - len(held)
+                while missing > 0 and (more := part.read(min(missing, BLOCK))):
+                    blocks.append(more)
+                    missing -= len(more)
+                if missing > 0:
+                    raise ValueError("a record that is cut off")
+                held = b"".join(blocks)
+                block, held = held[:length], held[length:]
+                http = head.get("content-type", "").startswith("application/http") and CRLF + CRLF in block
+                row["payload"] = block[block.index(CRLF + CRLF) + 4 :] if http else block
+                if stats is not None:
+                    stats["decoded"] = stats.get("decoded", 0) + 1
+            elif part.size:  # one record in the member, whose end is known
+                held = None
+            else:
+                held = part.pass_over(held, length)
+            if wants:
+                yield row
+            if held is None:
+                break
+            held = held.lstrip(CRLF)
+            if part.inflate is None:  # what was read of the next record goes back
+                window.back(held)
+                break
+        part.close()
+    if stats is not None:
+        stats["read_bytes"] = stats.get("read_bytes", 0) + window.read_bytes
 
 
 class FilePart(InputPartition):
@@ -153,7 +269,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite):
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 class WarcReader(DataSourceReader):
@@ -174,8 +290,9 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         fs, path = open_fs(self.path)
-        with fs.open_input_stream(f"{path}/{MANIFEST}") as f:
-            files = json.loads(f.read())
+        files = manifest(fs, path)
+        if files is None:
+            files = archives(fs, path)
         parts, size = [[]], 0
         for name, length in sorted(files):
             if parts[-1] and size + length > self.split:
@@ -203,15 +320,35 @@ class WarcReader(DataSourceReader):
     def read(self, partition):
         fs, path = open_fs(self.path)
         for name in partition.files:
-            with fs.open_input_file(f"{path}/{name}") as f:
-                data = memoryview(f.read())
-            for row in records(data, self.wanted, self.payload):
-                yield tuple(row.values())
+            with fs.open_input_file(f"{path}/{name}" if name else path) as f:
+                for row in records(f, self.wanted, self.payload):
+                    yield tuple(row.values())
+
+
+def manifest(fs, path: str) -> list[list] | None:
+    """[name, bytes] of the files that commits made part of an archive; None without a manifest."""
+    if fs.get_file_info(f"{path}/{MANIFEST}").type.name != "File":
+        return None
+    with fs.open_input_stream(f"{path}/{MANIFEST}") as f:
+        return json.loads(f.read())
+
+
+def archives(fs, path: str) -> list[list]:
+    """[name, bytes] of the archive files below a folder, or of the one file."""
+    from pyarrow import fs as pfs
+
+    info = fs.get_file_info(path)
+    if info.type == pfs.FileType.File:
+        return [["", info.size]]
+    if info.type == pfs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    found = fs.get_file_info(pfs.FileSelector(path, recursive=True))
+    return sorted([x.path.removeprefix(path).lstrip("/"), x.size] for x in found if x.type == pfs.FileType.File and x.base_name.endswith((".warc", ".warc.gz")))
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options):
-        self.path, self.level = options["path"].rstrip("/"), int(options.get("level", 6))
+    def __init__(self, options, overwrite: bool = False):
+        self.path, self.level, self.overwrite = options["path"].rstrip("/"), int(options.get("level", 6)), overwrite
         self.most = int(options.get("file_bytes", 32 << 20))
 
     def write(self, iterator):
@@ -235,10 +372,23 @@ class WarcWriter(DataSourceWriter):
         return Written(files)
 
     def commit(self, messages):
+        """The files of this write become part of the archive at once, by a manifest put in place of the last."""
         fs, path = open_fs(self.path)
         fs.create_dir(path, recursive=True)
-        with fs.open_output_stream(f"{path}/{MANIFEST}", compression=None) as f:
-            f.write(json.dumps([x for m in messages if m for x in m.files]).encode())
+        before = manifest(fs, path)
+        if before is None and not self.overwrite and (others := [x for x, _ in archives(fs, path) if not x.startswith("part-")]):
+            raise ValueError(f"{path} holds archives of another writer, such as {others[0]}")
+        files = [x for m in messages if m for x in m.files]
+        aside = f"{path}/{MANIFEST}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(aside, compression=None) as f:
+            f.write(json.dumps(files if self.overwrite else (before or []) + files).encode())
+        try:
+            fs.move(aside, f"{path}/{MANIFEST}")
+        except OSError:  # a file system that doesn't rename onto a file
+            fs.delete_file(f"{path}/{MANIFEST}")
+            fs.move(aside, f"{path}/{MANIFEST}")
+        for name, _ in before or () if self.overwrite else ():
+            fs.delete_file(f"{path}/{name}")
 
     def abort(self, messages):
         pass
@@ -268,7 +418,12 @@ def typed_records(pages: DataFrame, *, min_revisit_bytes: int = 0) -> DataFrame:
     rows = rows.withColumn("_sha", F.sha1("payload")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     large = rows.where(F.col("payload_bytes") >= min_revisit_bytes).select("_sha", "payload_bytes", "page_id")
     groups = large.groupBy("_sha", "payload_bytes").agg(F.max("page_id").alias("_last"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    both = hot_join(rows, groups, ["_sha", "payload_bytes"], ["page_id", "url"])
+    groups = written(groups, "payloads")
+    # Only pages whose payload may be there more than once are shuffled with it.
+    key = F.xxhash64("_sha", "payload_bytes")
+    shared = maybe_among(groups, key, key)
+    both = hot_join(rows.where(shared), groups, ["_sha", "payload_bytes"], ["page_id", "url"])
+    both = both.unionByName(rows.where(~shared).withColumn("_last", F.lit(None).cast("long")))
     revisit = F.col("_last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_last"))
     return both.select(
         "page_id", "url", F.when(revisit, "revisit").otherwise("response").alias("record_type"), base32_of_hex(F.col("_sha")).alias("payload_digest"),
@@ -276,18 +431,27 @@ def typed_records(pages: DataFrame, *, min_revisit_bytes: int = 0) -> DataFrame:
     )
 
 
-def write_warc(pages: DataFrame, path: str | None = None, *, min_revisit_bytes: int = 0, level: int = 6) -> str:
-    """Writes the archive of a table of pages; returns its folder."""
+def write_warc(pages: DataFrame, path: str | None = None, *, min_revisit_bytes: int = 0, level: int = 6, mode: str = "append") -> str:
+    """Writes the archive of a table of pages, or adds to the one at ``path``; returns its folder.
+
+    Revisits refer to records of the same write.
+    """
     spark = pages.sparkSession
     register(spark)
     path = qualified(spark, path or fresh_path(spark, "warc"))
-    typed_records(pages, min_revisit_bytes=min_revisit_bytes).write.format("warc").mode("append").option("level", level).save(path)
+    typed_records(pages, min_revisit_bytes=min_revisit_bytes).write.format("warc").mode(mode).option("level", level).save(path)
     return path
 
 
 def read_warc(spark, path: str, *, payload: bool = True) -> DataFrame:
+    """The records of an archive: a folder or a file.
+
+    Spark keeps the filters that one query pushed into a Python data source for the next query on the
+    same DataFrame if that has none of its own; the test for a type, which all records have, makes
+    sure that each has some.
+    """
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path))
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path)).where("record_type is not null")
 
 
 def sha1_base32(data: bytes) -> str:

@@ -1,5 +1,9 @@
+import gzip
+import random
 from collections import defaultdict
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from casemill.llm import chat, warc
@@ -49,16 +53,78 @@ def test_pushdown(spark, tmp_path):
     assert len(left) == 1 and reader.tests == [("record_type", "eq", "response")]
     stats = {}
     data = b"".join(warc.member(warc.record_bytes(type("R", (), dict(page_id=i, url="u", record_type="response", payload_digest="D", payload_bytes=9, refers_to=None, payload=b"p" * 100000)))) for i in range(5))
-    rows = list(warc.records(memoryview(data), lambda r: r["page_id"] == 3, True, stats))
+    rows = list(warc.records(opened(data), lambda r: r["page_id"] == 3, True, stats))
     assert len(rows) == 1 and stats["decoded"] == 1 and rows[0]["payload"] == b"p" * 100000
 
 
-def test_other_writers_and_gzip():
-    import gzip
+def opened(data):
+    return pa.BufferReader(data)
+
+
+def record(i, payload, **more):
+    row = dict(page_id=i, url="u", record_type="response", payload_digest="D", payload_bytes=len(payload), refers_to=None, payload=payload) | more
+    return warc.record_bytes(type("R", (), row))
 
-    record = warc.record_bytes(type("R", (), dict(page_id=1, url="u", record_type="response", payload_digest="D", payload_bytes=3, refers_to=None, payload=b"abc")))
-    assert gzip.decompress(warc.member(record) * 2) == record * 2
-    assert [r["payload"] for r in warc.records(memoryview(gzip.compress(record) + warc.member(record)))] == [b"abc", b"abc"]
+
+def test_other_writers_and_gzip():
+    one = record(1, b"abc")
+    assert gzip.decompress(warc.member(one) * 2) == one * 2
+    for data in (gzip.compress(one) + warc.member(one), gzip.compress(one + one), one + one, b"\r\n" + one + b"\r\n\r\n" + one):
+        assert [r["payload"] for r in warc.records(opened(data))] == [b"abc", b"abc"]
+        assert [r["payload"] for r in warc.records(opened(data), payload=False)] == [None, None]
+        assert list(warc.records(opened(data), lambda r: False)) == []
+
+
+def test_records_that_are_broken():
+    one = record(1, b"abc" * 50000)
+    for data in (gzip.compress(one)[:-9], warc.member(one)[:-200], one[:-9000], b"no headers", gzip.compress(b"nothing here")):
+        for payload in (True, False):
+            with pytest.raises(ValueError):
+                list(warc.records(opened(data), payload=payload))
+    assert list(warc.records(opened(b""))) == []
+
+
+def test_payloads_are_passed_over():
+    """With sl, or in a plain file, only the headers are read; without, time and memory stay in proportion."""
+    rng = random.Random(1)
+    big = [record(i, rng.randbytes(300_000)) for i in range(20)]
+    for data in (b"".join(map(warc.member, big)), b"".join(big)):
+        stats = {}
+        assert len(list(warc.records(opened(data), payload=False, stats=stats))) == 20
+        assert stats["read_bytes"] < len(data) / 3 and "decoded" not in stats
+    small = b"".join(gzip.compress(record(i, b"x" * 500)) for i in range(20_000))
+    stats = {}
+    assert sum(len(r["payload"]) for r in warc.records(opened(small), stats=stats)) == 500 * 20_000
+    assert stats["read_bytes"] == len(small)
+
+
+def test_folder_of_other_writers(spark, tmp_path):
+    """Plain and compressed files without a manifest, with records of all types; also a single file."""
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1-2>\r\nContent-Type: application/warc-fields\r\nContent-Length: 9\r\n\r\nsoft: 1\r\n\r\n\r\n"
+    page = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://a/\r\nWARC-Payload-Digest: sha1:ABC\r\nWARC-Record-ID: <urn:uuid:1-3>\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: 26\r\n\r\nHTTP/1.1 200 OK\r\n\r\n<p>é</p".encode()
+    page = page.replace(b"Content-Length: 26", b"Content-Length: " + str(len(page.split(b"\r\n\r\n", 1)[1])).encode()) + b"\r\n\r\n"
+    res = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: file:x\r\nContent-Type: text/plain\r\nContent-Length: 4\r\n\r\nbody\r\n\r\n"
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "one.warc").write_bytes(info + page + res)
+    (tmp_path / "a" / "b" / "two.warc.gz").write_bytes(b"".join(map(gzip.compress, (info, page, res))))
+    (tmp_path / "a" / "readme.txt").write_text("no archive")
+    got = sorted(((x.record_type, x.url, x.payload_digest, x.payload_bytes, x.page_id, x.payload and bytes(x.payload)) for x in warc.read_warc(spark, str(tmp_path / "a")).collect()), key=str)
+    want = [("resource", "file:x", None, 4, None, b"body"), ("response", "http://a/", "ABC", None, None, "<p>é</p".encode()), ("warcinfo", None, None, 9, None, None)]
+    assert got == sorted([*want, *want], key=str)
+    one = warc.read_warc(spark, str(tmp_path / "a" / "one.warc"))
+    assert one.where("payload_bytes = 4").count() == 1 and one.count() == 3
+    with pytest.raises(Exception, match="another writer"):
+        warc.write_warc(spark.createDataFrame(pages(), PAGES), str(tmp_path / "a"))
+
+
+def test_second_writes(spark, tmp_path):
+    put = lambda i, mode: warc.write_warc(spark.createDataFrame([(i, "u", f"<p>{i}</p>")], PAGES).selectExpr("*", "'x' as payload", "1 as _last"), str(tmp_path / "w"), mode=mode)
+    ids = lambda: sorted(x.page_id for x in warc.read_warc(spark, str(tmp_path / "w")).collect())
+    put(1, "append")
+    put(2, "append")
+    assert ids() == [1, 2]
+    put(3, "overwrite")
+    assert ids() == [3] and len(list((tmp_path / "w").glob("*.warc.gz"))) == 1
 
 
 def test_empty_archive(spark):
