@@ -8,8 +8,11 @@ file, then the directory, and then only the frames of the documents that are ask
 is checked against its checksum.
 
 The ids of all documents follow one another in ascending order of doc_id (null first, equal ids by
-text).  Rows are dealt by ranges of doc_id; each task writes one file under a name of its own, and
-the manifest, written last, makes the files of the successful attempts the data set.
+the hash of their texts; rows that are equal in both follow in any order, which shows nowhere).  Rows
+are dealt by ranges of doc_id, hash and the partition they come from, so that a repeated id, or many
+nulls, go to many tasks.  Each task writes files of bounded size under names of its own, and the
+manifest, written last, makes the files of the successful attempts the data set; it holds the least
+and greatest doc_id of each, so that a reader opens only the files that may hold what is asked for.
 
 Edge cases: a null or empty text is the end id alone; repeated rows each get their place; a text
 of any length stays in one frame; an empty table gives a data set without files; other columns of
@@ -28,12 +31,13 @@ from operator import attrgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casemill.llm.common import Held, fresh_path, map_batches, open_fs, qualified
 
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
-FRAME_BYTES = 1 << 18
+FRAME_BYTES, FILE_BYTES, FILE_DOCS = 1 << 18, 1 << 28, 500_000  # of ids, before compression
 MANIFEST = "_tokens.json"
 WORDS_KEPT, PARTS_KEPT = 650_000, 100_000
 
@@ -71,7 +75,8 @@ class Encoder:
     ids of a text are those of its words, which are kept, and a new word costs a call of the
     library's model for each part that is new as well.  The cutting is that of the file's own
     pre-tokenizer, written out for ASCII and Latin letters.  Texts with other characters, or with a
-    special token, are encoded whole, as all texts are with a file of another pre-tokenizer.
+    special token, are encoded whole, as all texts are with a file that differs in its normaliser,
+    pre-tokenizer or kind of model.
     """
 
     ODD = re.compile(f"[^\x20-\x7e\t\n\r{LETTERS}]")
@@ -81,6 +86,15 @@ class Encoder:
     WORD_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
     STOPS = (".", ",")
     WORD_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    # The normaliser, the pre-tokenizer and the model that a file must state in full.
+    MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+    SHAPES = {
+        "byte": (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}),
+        "word": (
+            {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+            {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": WORD_CUT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+        ),
+    }
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -92,11 +106,9 @@ class Encoder:
         self.letters = byte_letters()
         self.merge = self.model.model.tokenize
         self.words, self.parts = Kept(self._word, WORDS_KEPT), Kept(self._merged, PARTS_KEPT)
-        pre, normal = spec["pre_tokenizer"] or {}, [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
-        steps = pre.get("pretokenizers", [])
-        plain = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
-        lower = normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"]["Regex"] == self.WORD_CUT
-        self.kind = "byte" if plain else "word" if lower else None
+        shape = spec["normalizer"], spec["pre_tokenizer"]
+        sure = all(spec["model"].get(k) == v for k, v in self.MODEL.items())
+        self.kind = next((k for k, x in self.SHAPES.items() if shape == x and sure), None)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -155,7 +167,7 @@ class FileWriter:
         import zstandard
 
         self.sink, self.z = sink, zstandard.ZstdCompressor(level=level, write_checksum=True)
-        self.table, self.directory, self.buffer, self.size = [], [], [], 0
+        self.table, self.directory, self.buffer, self.size, self.total = [], [], [], 0, 0
 
     def frame(self, data: bytes) -> None:
         packed = self.z.compress(data)
@@ -166,6 +178,7 @@ class FileWriter:
         self.directory.append((key is not None, key or 0, len(ids) // 4, len(self.table)))
         self.buffer.append(ids)
         self.size += len(ids)
+        self.total += len(ids)
         if self.size >= FRAME_BYTES:
             self.flush()
 
@@ -228,37 +241,46 @@ class FileReader:
             before += n
 
 
-def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, end_id: int = 1, level: int = 3) -> str:
+def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, end_id: int = 1, level: int = 3, file_bytes: int = FILE_BYTES, file_docs: int = FILE_DOCS) -> str:
     """Writes the ids of all documents; returns the folder of the data set."""
     spark = docs.sparkSession
     path = qualified(spark, path or fresh_path(spark, "tokens"))
     end = struct.pack("<I", end_id)
+    fields = [("part", pa.int32()), ("place", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64()), ("nulls", pa.bool_()), ("least", pa.int64()), ("most", pa.int64())]
 
     def run(batches):
         from pyspark import TaskContext
 
         encoder, fs, root = Encoder.of(tokenizer), *open_fs(path)
-        writer, n, total, name = None, 0, 0, f"part-{uuid.uuid4().hex}.zst"
+        out, writer, name = [], None, ""
+
+        def done():
+            writer.close()
+            keys = [x[1] for x in writer.directory if x[0]]
+            out.append((TaskContext.get().partitionId(), len(out), name, len(writer.directory), writer.total // 4, len(keys) < len(writer.directory), min(keys, default=None), max(keys, default=None)))
+
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if writer is None:
                     fs.create_dir(root, recursive=True)
+                    name = f"part-{uuid.uuid4().hex}.zst"
                     writer = FileWriter(fs.open_output_stream(f"{root}/{name}", compression=None), level)
-                ids = encoder.encode(text or "") + end
-                writer.add(key, ids)
-                n, total = n + 1, total + len(ids) // 4
+                writer.add(key, encoder.encode(text or "") + end)
+                if writer.total >= file_bytes or len(writer.directory) >= file_docs:
+                    done()
+                    writer = None
         encoder.forget()
         if writer is not None:
-            writer.close()
-            yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "file": [name], "docs": [n], "tokens": [total]}, schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
+            done()
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, (_, t) in enumerate(fields)], schema=pa.schema(fields))
 
-    thin = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    ordered = thin.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = map_batches(ordered, run, "part int, file string, docs long, tokens long").collect()  # a row for each file
+    thin = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").withColumns({"_h": F.xxhash64("text"), "_from": F.spark_partition_id()})
+    ordered = thin.repartitionByRange("doc_id", "_h", "_from").sortWithinPartitions("doc_id", "_h").select("doc_id", "text")
+    files = map_batches(ordered, run, "part int, place int, file string, docs long, tokens long, nulls boolean, least long, most long").collect()  # a row for each file
     manifest, start = [], 0
-    for _, name, n, total in sorted(tuple(r) for r in files):
-        manifest.append({"file": name, "docs": n, "tokens": total, "start": start})
-        start += total
+    for r in sorted(files, key=lambda r: (r["part"], r["place"])):
+        manifest.append({k: r[k] for k in ("file", "docs", "tokens", "nulls", "least", "most")} | {"start": start})
+        start += r["tokens"]
     fs, root = open_fs(path)
     fs.create_dir(root, recursive=True)
     with fs.open_output_stream(f"{root}/{MANIFEST}", compression=None) as f:
@@ -269,15 +291,17 @@ def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, en
 def read_tokens(spark: SparkSession, path: str, *, doc_ids: list[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids (bytes), read from the files.
 
-    With ``doc_ids`` only the frames that hold these documents are read and decompressed.
+    With ``doc_ids`` only files whose range holds one are opened, and only the frames that hold these
+    documents are read and decompressed.
     """
     path = qualified(spark, path)
     fs, root = open_fs(path)
     with fs.open_input_stream(f"{root}/{MANIFEST}") as f:
         manifest = json.loads(f.read())
-    rows = [(x["file"], x["start"]) for x in manifest]
-    files = spark.range(0, len(rows), 1, max(1, len(rows)))  # a task for each file
     wanted = None if doc_ids is None else set(doc_ids)
+    held = lambda x: wanted is None or x["least"] is not None and any(x["least"] <= i <= x["most"] for i in wanted)
+    rows = [(x["file"], x["start"]) for x in manifest if held(x)]
+    files = spark.range(0, len(rows), 1, max(1, len(rows)))  # a task for each file
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
     arrow = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 

@@ -53,6 +53,24 @@ def test_another_pre_tokenizer_is_left_alone(tmp_path):
     assert encoder.kind is None and encoder.encode("a b") == encoder.whole("a b")
 
 
+def test_another_normaliser_or_model_is_left_alone(tmp_path):
+    import json
+
+    def changed(change):
+        spec = json.load(open(tokenizer_path("word_bpe_49k.json")))
+        change(spec)
+        (tmp_path / "t.json").write_text(json.dumps(spec))
+        return tokens.Encoder(str(tmp_path / "t.json"))
+
+    for change in (
+        lambda s: s["normalizer"]["normalizers"][1].update(content="-"), lambda s: s["normalizer"]["normalizers"][1].update(pattern={"String": "a"}),
+        lambda s: s["model"].update(ignore_merges=True), lambda s: s["pre_tokenizer"]["pretokenizers"][0].update(behavior="Isolated"),
+    ):
+        encoder = changed(change)
+        assert encoder.kind is None and encoder.encode("a banana  is here") == encoder.whole("a banana  is here")
+    assert changed(lambda s: None).kind == "word"
+
+
 def expected(rows, name, end):
     encoder = tokens.Encoder(tokenizer_path(name))
     return [(i, encoder.whole(t or "") + struct.pack("<I", end)) for i, t, *_ in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or ""))]
@@ -72,6 +90,24 @@ def test_files(spark, tmp_path, monkeypatch):
     assert {x.doc_id: bytes(x.ids) for x in some} == {i: ids for _, i, _, ids in want if i in (903, 30)}
 
 
+def test_repeated_ids_go_to_many_files_of_bounded_size(spark, tmp_path):
+    """Two thirds of the rows have one id or none; extra columns of clashing names are ignored."""
+    rows = [(7 if i % 3 else None, f"text {i % 40}", "en", "s", 1) for i in range(600)] + [(8 + i, "last", "en", "s", 1) for i in range(10)]
+    docs = frame(spark, rows, 6).selectExpr("*", "1 as _h", "2 as _from", "3 as start", "4 as ids")
+    path = tokens.write_tokens(docs, str(tmp_path / "t"), tokenizer=tokenizer_path("word_bpe_49k.json"), file_docs=50)
+    import json
+
+    manifest = json.loads((tmp_path / "t" / tokens.MANIFEST).read_text())
+    assert max(x["docs"] for x in manifest) <= 50 and len(manifest) >= 13 and sum(x["docs"] for x in manifest) == len(rows)
+    out = sorted(((x.start, x.doc_id, x.n_tokens, bytes(x.ids)) for x in tokens.read_tokens(spark, path).collect()), key=lambda x: x[0])
+    assert [x[1] for x in out] == sorted((x[0] for x in rows), key=lambda i: (i is not None, i or 0))
+    assert [x[0] for x in out] == [sum(x[2] for x in out[:k]) for k in range(len(out))]
+    encoder = tokens.Encoder(tokenizer_path("word_bpe_49k.json"))
+    assert sorted(((x[1], x[3]) for x in out), key=str) == sorted(((i, encoder.whole(t) + struct.pack("<I", 1)) for i, t, *_ in rows), key=str)
+    some = tokens.read_tokens(spark, path, doc_ids=[12])
+    assert some.rdd.getNumPartitions() < len(manifest) and [x.doc_id for x in some.collect()] == [12]
+
+
 def test_reads_only_what_is_asked_and_checks(tmp_path):
     import pyarrow.fs as pfs
 
