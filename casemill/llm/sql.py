@@ -25,13 +25,11 @@ def _literal(text: str) -> str:
 def op1() -> str:
     rows = ", ".join(f"({i}, {_literal(n)}, {_literal(t)})" for i, (n, t) in enumerate(TEMPLATES))
     return f"""WITH t AS (SELECT id, name, {_fold('body')} AS w FROM (VALUES {rows}) AS v(id, name, body)),
-    ts AS (SELECT DISTINCT id, name, len(w) AS size, array_to_string(w[k:k + 4], ' ') AS s FROM t, unnest(range(1, len(w) - 3)) AS u(k)),
+    ts AS (SELECT DISTINCT id, name, array_to_string(w[k:k + 4], ' ') AS s FROM t, unnest(range(1, len(w) - 3)) AS u(k)),
     tn AS (SELECT id, count(*) AS m FROM ts GROUP BY 1),
     d AS (SELECT doc_id, {_fold('text')} AS w FROM documents),
-    ds AS (SELECT doc_id, k - 1 AS p, array_to_string(w[k:k + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(k)),
-    hits AS (SELECT doc_id, id, name, size, s, p FROM ds JOIN ts USING (s)),
-    placed AS (SELECT doc_id, id, name, s, p // size - b AS win, p, size FROM hits, (VALUES (0), (1)) AS x(b) WHERE p // size - b >= 0 AND p + 5 <= (p // size - b) * size + 2 * size),
-    shares AS (SELECT doc_id, id, name, win, count(DISTINCT s) AS n FROM placed GROUP BY ALL),
+    ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(k)),
+    shares AS (SELECT doc_id, id, name, count(*) AS n FROM ds JOIN ts USING (s) GROUP BY ALL),
     found AS (SELECT DISTINCT doc_id, name FROM shares JOIN tn USING (id) WHERE n >= {CONTAINMENT} * m)
     SELECT doc_id, count(name) AS n_licenses, coalesce(string_agg(name, ',' ORDER BY name), '') AS licenses FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id"""
 
