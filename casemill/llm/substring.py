@@ -43,6 +43,7 @@ from casemill.llm.common import Held, fresh_path, map_batches, open_fs
 WINDOW, GRAM = 13, 4
 CHUNK_WORDS = 400_000
 SHARD_BYTES = 4 << 20  # of the corpus as written
+SHARD_TASKS = 16_384
 HOT, HOT_SAMPLE, HOT_LEAST = 4096, 0.01, 16
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -413,8 +414,12 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, gram: int = GRAM, c
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["file", "chunk", "data"])
 
     sent = map_batches(tasks, send, "file int, chunk int, shard int, data binary")
-    # A task for each shard, then one for each file: both of bounded size.
-    met = map_batches(sent.repartitionById(shards, "shard"), match, "file int, chunk int, data binary")
+    # Up to SHARD_TASKS shards a task for each, and of more each takes several in turn; then one for each file.
+    if shards <= SHARD_TASKS:
+        dealt = sent.repartitionById(shards, "shard")
+    else:
+        dealt = sent.repartitionById(SHARD_TASKS, F.col("shard") % SHARD_TASKS).sortWithinPartitions("shard")
+    met = map_batches(dealt, match, "file int, chunk int, data binary")
     met.repartitionById(max(1, len(files)), "file").write.partitionBy("file").option("compression", "none").parquet(answers)
 
     def cut(batches):

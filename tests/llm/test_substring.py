@@ -38,6 +38,19 @@ def test_against_plain(spark):
     assert got(substring.remove_repeats(frame(spark, rows), chunk_words=100, shard_bytes=2000)) == want
 
 
+def test_tasks_of_several_shards_and_long_texts(spark, monkeypatch):
+    """More shards than tasks, a text of 60,000 words that holds others, and columns of clashing names."""
+    import random
+
+    rng = random.Random(4)
+    monkeypatch.setattr(substring, "SHARD_TASKS", 3)
+    rows = documents(seed=9, n=30)
+    long = " ".join(f"v{rng.randrange(5000)}" for _ in range(60_000))
+    rows += [(4000, long, "en", "s", 1), (4001, " ".join(long.split()[20_000:40_000]), "en", "s", 1), (4002, " ".join(long.split()[100:130]), "en", "s", 1)]
+    docs = frame(spark, rows).selectExpr("*", "1 as n_words", "2 as removed", "'x' as kept_text", "3 as shard")
+    assert got(substring.remove_repeats(docs, shard_bytes=3000)) == plain(rows)
+
+
 def test_common_anchors_change_nothing(spark, monkeypatch):
     rows = documents(seed=3)
     chunk = substring.Chunk()
