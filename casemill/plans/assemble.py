@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +28,15 @@ def base_frame(base: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def one_per_case(df: DataFrame) -> DataFrame:
-    """One row for each case: the least by all columns, so that the choice is the same each time."""
-    rest = [F.col(f"`{c}`") for c in df.columns if c != "case_id"]
-    first = Window.partitionBy("case_id").orderBy(*rest or [F.lit(1)])
-    return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    """One row for each case: the least by all columns, so that the choice is the same each time.
+
+    It is an aggregate, so tasks shuffle one row of each case at most and nothing is ranked.
+    """
+    rest = [c for c in df.columns if c != "case_id"]
+    if not rest:
+        return df.distinct()
+    least = df.groupBy("case_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_least"))
+    return least.select(*["case_id" if c == "case_id" else F.col("_least").getField(c).alias(c) for c in df.columns])
 
 
 def _number(name: str, step: str) -> Column:

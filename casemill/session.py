@@ -30,19 +30,34 @@ def own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a temporary folder where the session has none (one machine)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
+    """``spark.checkpoint.dir``; where the session has none and all runs on one machine, a temporary folder.
+
+    On a cluster without that setting this is an error, since each executor would write to its own disk.
+    """
+    sc = spark.sparkContext
+    known = sc._jsc.sc().getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or (known.get() if known.isDefined() else None)
     if not base:
-        base = known.get() if known.isDefined() else own_folder()
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = own_folder()
     if not known.isDefined():
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
     return base.rstrip("/")  # only Spark reads and writes there, by this name
 
 
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of this application's intermediate data, which goes when the application ends."""
+    folder = f"{shared_folder(spark)}/casemill-{spark.sparkContext.applicationId}"
+    fs, p = hadoop(spark, folder)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, its lineage cut."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = fresh(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -78,3 +93,23 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
 def size_of(spark: SparkSession, path: str) -> int:
     fs, p = hadoop(spark, path)
     return int(fs.getContentSummary(p).getLength())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, put in place whole: written aside, then renamed over the old one."""
+    aside = f"{path}.{uuid.uuid4().hex}"
+    fs, p = hadoop(spark, aside)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(p), fs.makeQualified(hadoop(spark, path)[1]), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())

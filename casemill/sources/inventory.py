@@ -7,22 +7,25 @@ from pyspark.sql import functions as F
 
 from casemill.functions.names import classify
 from casemill.session import exists, listed, size_of
+from casemill.sources.tables import footers, row_counts
 
+# Key columns, and the names that the columns of a table of definitions may have.
 KEYS = ("case_id", "num_group1", "num_group2", "target", "date_decision", "WEEK_NUM", "MONTH")
 NAME_COLUMNS = ("Variable", "variable", "feature", "feature_name")
 TEXT_COLUMNS = ("Description", "description")
 FILE_SCHEMA = "file_name string, file_size_bytes long, row_count long, column_count int, logical_family string, depth int, key_columns array<string>, columns array<string>, types array<string>"
 
 
-def file_profile(spark: SparkSession, path: str) -> tuple:
-    df = spark.read.parquet(path)
-    name = path.rsplit("/", 1)[-1]
-    family, depth = classify(name)
-    return name, size_of(spark, path), df.count(), len(df.columns), family, depth, [c for c in KEYS if c in df.columns], df.columns, [t for _, t in df.dtypes]
-
-
 def file_profiles(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.createDataFrame([file_profile(spark, p) for p in paths], FILE_SCHEMA)
+    """A row for each file: footers are read many at a time, and all rows counted by one job."""
+    rows = row_counts(spark, paths)
+    out = []
+    for path, schema in zip(paths, footers(spark, paths), strict=True):
+        name = path.rsplit("/", 1)[-1]
+        family, depth = classify(name)
+        types = [f.dataType.simpleString() for f in schema]
+        out.append((name, size_of(spark, path), rows[path], len(schema), family, depth, [c for c in KEYS if c in schema.names], schema.names, types))
+    return spark.createDataFrame(out, FILE_SCHEMA)
 
 
 def definitions_frame(spark: SparkSession, path: str) -> DataFrame:

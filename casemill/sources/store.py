@@ -1,8 +1,9 @@
 """A store of tables as folders of Parquet: ingest, reconcile, promote, records, reset.
 
-Layout: ``<root>/<schema>/<table>``.  A load is written to ``raw/__load_<table>_<id>``, reconciled with
-its sources, and only then renamed into place; the table that it replaces is renamed aside first and
-deleted last, and put back if the renaming fails.
+Layout: ``<root>/<schema>/<table>/v<number>-<id>``.  A load is written to ``<root>/<schema>/__load_<table>_<id>``,
+reconciled with its sources, and then renamed to the next version of its table.  The table is its
+latest version, so that one rename replaces it and a crash at any point leaves it whole, old or new.
+Older versions go after that, or with ``cleanup``.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.session import exists, hadoop, listed, remove, rename
-from casemill.sources.tables import LogicalTable, blanks_as_nulls, chosen, discover
+from casemill.session import hadoop, listed, remove, rename
+from casemill.sources.tables import LogicalTable, blanks_as_nulls, chosen, discover, row_counts
 
 SCHEMAS = ("raw", "staging", "features", "analytics", "monitoring")
 RECORDS = {
@@ -41,8 +42,18 @@ class Store:
     def path(self, table: str, schema: str = "raw") -> str:
         return f"{self.root}/{schema}/{table}"
 
+    def versions(self, table: str, schema: str = "raw") -> list[str]:
+        """The paths of all versions of a table, oldest first."""
+        return listed(self.spark, f"{self.path(table, schema)}/v*")
+
+    def current(self, table: str, schema: str = "raw") -> str:
+        found = self.versions(table, schema)
+        if not found:
+            raise FileNotFoundError(f"no table {schema}.{table} in {self.root}")
+        return found[-1]
+
     def read(self, table: str, schema: str = "raw") -> DataFrame:
-        return self.spark.read.parquet(self.path(table, schema))
+        return self.spark.read.parquet(self.current(table, schema))
 
     def write(self, df: DataFrame, table: str, schema: str = "features") -> DataFrame:
         """Replaces a derived table (drop and create as select)."""
@@ -56,17 +67,17 @@ class Store:
             fs, p = hadoop(self.spark, f"{self.root}/{schema}")
             fs.mkdirs(p)
         for name, ddl in RECORDS.items():
-            if not exists(self.spark, self.path(name, "monitoring")):
-                self.spark.createDataFrame([], ddl).write.parquet(self.path(name, "monitoring"))
+            if not self.versions(name, "monitoring"):
+                self.write(self.spark.createDataFrame([], ddl), name, "monitoring")
 
     # -- records ---------------------------------------------------------------------------------
 
     def records(self, name: str) -> DataFrame:
-        return self.spark.read.schema(RECORDS[name]).parquet(self.path(name, "monitoring"))
+        return self.spark.read.schema(RECORDS[name]).parquet(self.current(name, "monitoring"))
 
     def _record(self, name: str, rows: list[tuple]) -> None:
         if rows:
-            self.spark.createDataFrame(rows, RECORDS[name]).coalesce(1).write.mode("append").parquet(self.path(name, "monitoring"))
+            self.spark.createDataFrame(rows, RECORDS[name]).coalesce(1).write.mode("append").parquet(self.current(name, "monitoring"))
 
     def last_run(self) -> DataFrame:
         return self.records("ingestion_runs").orderBy(F.desc_nulls_last("finished_at"), F.desc("started_at")).limit(1)
@@ -74,26 +85,22 @@ class Store:
     # -- ingest ----------------------------------------------------------------------------------
 
     def _promote(self, load: str, table: str, schema: str = "raw") -> None:
-        now, old = self.path(table, schema), self.path(f"__old_{table}_{uuid.uuid4().hex}", schema)
-        had = exists(self.spark, now)
-        if had:
-            rename(self.spark, now, old)
-        try:
-            rename(self.spark, load, now)
-        except BaseException:
-            if had:
-                rename(self.spark, old, now)
-            raise
-        if had:
+        """Makes a load the latest version of its table, by one rename."""
+        before = self.versions(table, schema)
+        number = int(before[-1].rsplit("/v", 1)[1].split("-")[0]) + 1 if before else 1
+        fs, folder = hadoop(self.spark, self.path(table, schema))
+        fs.mkdirs(folder)
+        rename(self.spark, load, f"{self.path(table, schema)}/v{number:010d}-{uuid.uuid4().hex}")
+        for old in before:
             remove(self.spark, old)
 
-    def _ingest(self, table: LogicalTable) -> tuple[int, int, list[tuple[str, int, int]]]:
+    def _ingest(self, table: LogicalTable) -> tuple[int, int, list[tuple[str, int, int | None]]]:
         load = self.path(f"__load_{table.name}_{uuid.uuid4().hex}")
         try:
             blanks_as_nulls(table.read(self.spark)).write.parquet(load)
             loaded = self.spark.read.parquet(load)
-            files = [(p, self.spark.read.parquet(p).count()) for p in table.paths]  # of footers
-            source, rows = sum(n for _, n in files), loaded.count()
+            files = row_counts(self.spark, list(table.paths), table.schema)
+            source, rows = sum(files.values()), loaded.count()
             check = reconciliation(source, rows, table.columns, loaded.columns)
             if not check["ok"]:
                 raise ReconciliationError(f"{table.name}: {[k for k, v in check.items() if not v]}")
@@ -101,7 +108,8 @@ class Store:
         except BaseException:
             remove(self.spark, load)
             raise
-        return source, rows, [(p, n, n) for p, n in files]
+        # The rows of a load are counted as a whole; those of one file among several aren't known.
+        return source, rows, [(p, n, rows if len(files) == 1 else None) for p, n in files.items()]
 
     def ingest(self, folder: str, names: list[str] | None = None) -> str:
         """Loads the tables of a folder.  A failure fails the run; tables promoted before it stay."""
@@ -144,12 +152,27 @@ class Store:
         return None
 
     def cleanup(self) -> list[str]:
-        """Deletes what failed loads have left; returns the names."""
-        left = [p for schema in SCHEMAS for mark in ("__load_*", "__old_*") for p in listed(self.spark, f"{self.root}/{schema}/{mark}")]
+        """Deletes loads that never became a version, and versions before the latest; returns the names."""
+        left = [p for schema in SCHEMAS for p in listed(self.spark, f"{self.root}/{schema}/__load_*")]
+        for schema in SCHEMAS:
+            for table in listed(self.spark, f"{self.root}/{schema}/*"):
+                left += listed(self.spark, f"{table}/v*")[:-1]
         for p in left:
             remove(self.spark, p)
         return [p.rsplit("/", 1)[-1] for p in left]
 
+    def validate(self, folder: str, names: list[str] | None = None) -> list[dict]:
+        """How the loaded tables agree with the files of a folder: rows, columns and keys of each."""
+        out = []
+        for table in chosen(discover(self.spark, folder), names):
+            here = {"table": table.name, "loaded": bool(self.versions(table.name))}
+            if here["loaded"]:
+                loaded = self.read(table.name)
+                source, rows = sum(row_counts(self.spark, list(table.paths), table.schema).values()), loaded.count()
+                here |= {"source_rows": source, "loaded_rows": rows} | reconciliation(source, rows, table.columns, loaded.columns)
+            out.append({"ok": False} | here)
+        return out
+
     def staging_views(self) -> list[str]:
         """Temporary views staging_<name> over the base table and the records."""
         views = {"base": self.read("base")} | {f"raw_{n}": self.records(n) for n in RECORDS}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +53,39 @@ def common_schema(schemas: dict[str, T.StructType]) -> T.StructType:
     return wanted
 
 
+def footers(spark: SparkSession, paths: list[str], at_once: int = 32) -> list[T.StructType]:
+    """The schema of each file; many footers are read at a time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+
+
+def row_counts(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> dict[str, int]:
+    """The rows of each file (or folder of files), by one job that reads no column.
+
+    Files with different columns may be counted together; without a ``schema`` that of the first is used.
+    """
+    if not paths:
+        return {}
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    found = reader.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("path")).count().collect()  # a row for each file
+    bare = lambda path: re.sub("^[a-z0-9]+:/*", "/", unquote(path)).rstrip("/")
+    out, names = dict.fromkeys(paths, 0), {bare(p): p for p in paths}
+    for path, n in found:
+        parts = bare(path)
+        while parts not in names:
+            parts = parts.rsplit("/", 1)[0]
+        out[names[parts]] += n
+    return out
+
+
 def discover(spark: SparkSession, folder: str, pattern: str = "train_*.parquet") -> list[LogicalTable]:
     """The tables of a folder, by name; only file footers are read."""
     paths = listed(spark, f"{folder.rstrip('/')}/{pattern}")
     if not paths:
         raise FileNotFoundError(f"no {pattern} in {folder}")
     groups: dict[str, dict[str, T.StructType]] = {}
-    for path in paths:
-        groups.setdefault(logical_name(path), {})[path] = spark.read.parquet(path).schema
+    for path, schema in zip(paths, footers(spark, paths), strict=True):
+        groups.setdefault(logical_name(path), {})[path] = schema
     return [LogicalTable(name, tuple(files), common_schema(files)) for name, files in sorted(groups.items())]
 
 

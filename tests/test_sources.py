@@ -105,6 +105,52 @@ def test_failed_load_leaves_the_old_table(spark, tmp_path, monkeypatch):
     assert last.status == "failed" and "row_count" in last.error_message
 
 
+def test_promotion_stopped_anywhere_loses_no_table(spark, tmp_path, monkeypatch):
+    """A kill before, at or after the one renaming leaves the old or the new table whole, also after a cleanup."""
+    s = store.Store(spark, str(tmp_path / "store"))
+    s.write(spark.range(3), "layer")
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*a):
+        raise Killed
+
+    for name, rows in (("rename", 3), ("remove", 5)):
+        with monkeypatch.context() as m:
+            m.setattr(store, name, killed)
+            with pytest.raises(Killed):
+                s.write(spark.range(5), "layer")
+        assert s.read("layer", "features").count() == rows
+        assert len(s.cleanup()) == 1
+        assert s.read("layer", "features").count() == rows and s.cleanup() == []
+    with pytest.raises(FileNotFoundError):
+        s.read("gone")
+
+
+def test_rows_of_files(spark, tmp_path):
+    """By one job: of folders and files with odd names, of empty ones, and of what was loaded."""
+    put(spark, tmp_path / "train_a b_1_0.parquet", [(i, "x") for i in range(4)], "case_id long, v string")
+    put(spark, tmp_path / "train_a b_1_1.parquet", [], "case_id long, v string")
+    put(spark, tmp_path / "train_é_1.parquet", [(1, "x")], "case_id long, v string")
+    paths = sorted(str(p) for p in tmp_path.glob("train_*.parquet"))
+    assert tables.row_counts(spark, paths) == dict(zip(paths, (4, 0, 1), strict=True)) and tables.row_counts(spark, []) == {}
+    s = store.Store(spark, str(tmp_path / "store"))
+    s.ingest(str(tmp_path))
+    files = {(r.path.rsplit("/", 1)[-1], r.source_rows, r.loaded_rows) for r in s.records("ingested_files").collect()}
+    assert files == {("train_a b_1_0.parquet", 4, None), ("train_a b_1_1.parquet", 0, None), ("train_é_1.parquet", 1, 1)}
+    assert [x["ok"] for x in s.validate(str(tmp_path))] == [True, True]
+
+
+def test_text_files_are_replaced_whole(spark, tmp_path):
+    from casemill import session
+
+    for text in ("one\ntwo é", "three"):
+        session.write_text(spark, str(tmp_path / "x.txt"), text)
+        assert session.read_text(spark, str(tmp_path / "x.txt")) == text
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["x.txt"]
+
+
 def test_reconciliation():
     ok = store.reconciliation
     assert ok(2, 2, ["case_id", "x"], ["case_id", "x"])["ok"]
