@@ -33,24 +33,55 @@ def totals(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("_rows"), F.coalesce(F.sum("y"), F.lit(0)).cast("long").alias("_pos"))
 
 
-def by_score(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("score").agg(F.coalesce(F.sum("y"), F.lit(0)).cast("long").alias("pos"), F.count(F.lit(1)).alias("all"))
+def ranking(scored: DataFrame) -> DataFrame:
+    """case_id, y, score, _n (place by falling score, equal ones by case_id) and _cp (positives so far).
 
+    Written once: all metrics of order are aggregates of it.
+    """
+    ranked = running(scored.select("case_id", "y", "score"), [F.desc("score"), F.asc("case_id")], {"_cp": F.coalesce(F.col("y"), F.lit(0)).cast("long")})
+    return materialised(ranked, "ranking")
 
-def roc_auc(scored: DataFrame) -> DataFrame:
-    """One row: roc_auc and gini.  Pairs with equal scores count half; null with one class only."""
-    ranked = running(by_score(scored), [F.asc("score")], {"_neg": F.col("all") - F.col("pos")})
+
+def score_groups(ranked: DataFrame) -> DataFrame:
+    """A row for each score: pos and all with it, and _tp and _up, those with it or a higher one."""
+    return ranked.groupBy("score").agg(F.coalesce(F.sum("y"), F.lit(0)).cast("long").alias("pos"), F.count(F.lit(1)).alias("all"), F.max("_cp").alias("_tp"), F.max("_n").alias("_up"))
+
+
+def _with_totals(rows: DataFrame, scored: DataFrame) -> DataFrame:
+    return rows.crossJoin(F.broadcast(totals(scored)))  # one row
+
+
+def _auc(groups: DataFrame) -> list[Column]:
+    """roc_auc and gini, of groups with the totals.  Pairs with equal scores count half; null with one class only."""
     neg = F.col("all") - F.col("pos")
-    wins = ranked.agg(F.sum(F.col("pos").cast("double") * (F.col("_neg") - neg / 2.0)).alias("_w"), F.sum("pos").alias("_p"), F.sum(neg).alias("_m"))
-    auc = F.when((F.col("_p") > 0) & (F.col("_m") > 0), F.col("_w") / F.col("_p") / F.col("_m"))
-    return wins.select(auc.alias("roc_auc"), gini(auc).alias("gini"))
+    below = F.col("_rows") - F.col("_pos") - (F.col("_up") - F.col("_tp"))
+    p, m = F.max("_pos"), F.max("_rows") - F.max("_pos")
+    auc = F.when((p > 0) & (m > 0), F.sum(F.col("pos").cast("double") * (below + neg / 2.0)) / p / m)
+    return [auc.alias("roc_auc"), gini(auc).alias("gini")]
+
+
+def _precision(groups: DataFrame) -> Column:
+    """The sum of precision over the steps of recall; equal scores are one step."""
+    p = F.max("_pos")
+    return F.when(p > 0, F.sum(F.col("pos").cast("double") * F.col("_tp") / F.col("_up")) / p).otherwise(0.0).alias("pr_auc")
+
+
+def _gap() -> Column:
+    gap = F.abs(F.col("_cp") / F.col("_pos") - (F.col("_n") - F.col("_cp")) / (F.col("_rows") - F.col("_pos")))
+    ok = (F.col("_pos") > 0) & (F.col("_pos") < F.col("_rows"))
+    return F.coalesce(F.max(F.when(ok, gap)), F.lit(float("nan"))).alias("ks")
+
+
+def roc_auc(scored: DataFrame) -> DataFrame:
+    """One row: roc_auc and gini."""
+    groups = _with_totals(score_groups(ranking(scored)), scored)
+    return groups.agg(*_auc(groups))
 
 
 def average_precision(scored: DataFrame) -> DataFrame:
-    """One row: the sum of precision over the steps of recall; equal scores are one step."""
-    ranked = running(by_score(scored), [F.desc("score")], {"_tp": F.col("pos"), "_all": F.col("all")})
-    out = ranked.agg(F.sum(F.col("pos").cast("double") * F.col("_tp") / F.col("_all")).alias("_w"), F.sum("pos").alias("_p"))
-    return out.select(F.when(F.col("_p") > 0, F.col("_w") / F.col("_p")).otherwise(0.0).alias("pr_auc"))
+    """One row: pr_auc."""
+    groups = _with_totals(score_groups(ranking(scored)), scored)
+    return groups.agg(_precision(groups))
 
 
 def ks(scored: DataFrame) -> DataFrame:
@@ -58,12 +89,7 @@ def ks(scored: DataFrame) -> DataFrame:
 
     Rows of equal scores follow by case_id.  NaN with one class only.
     """
-    ranked = running(scored.select("case_id", "y", "score"), [F.desc("score"), F.asc("case_id")], {"_cp": F.col("y").cast("long")})
-    t = totals(scored)
-    rows = ranked.crossJoin(F.broadcast(t))
-    gap = F.abs(F.col("_cp") / F.col("_pos") - (F.col("_n") - F.col("_cp")) / (F.col("_rows") - F.col("_pos")))
-    ok = (F.col("_pos") > 0) & (F.col("_pos") < F.col("_rows"))
-    return rows.agg(F.coalesce(F.max(F.when(ok, gap)), F.lit(float("nan"))).alias("ks"))
+    return _with_totals(ranking(scored), scored).agg(_gap())
 
 
 def brier(scored: DataFrame) -> DataFrame:
@@ -73,16 +99,31 @@ def brier(scored: DataFrame) -> DataFrame:
 QUANTILES = {"p01": 0.01, "p05": 0.05, "median": 0.5, "p95": 0.95, "p99": 0.99}
 
 
+def _quantiles() -> list[Column]:
+    """Of groups with totals: the quantiles, interpolated between the two scores whose places are nearest."""
+    below = F.col("_rows") - F.col("_up")  # rows with a lower score
+    out = []
+    for name, q in QUANTILES.items():
+        place = (F.col("_rows") - 1) * F.lit(q)
+        at = lambda k: F.max(F.when((below <= k) & (k < below + F.col("all")), F.col("score")))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        share = F.max(place - F.floor(place))
+        out.append((low + (high - low) * share).alias(name))
+    return out
+
+
+def _summary() -> list[Column]:
+    return [F.min("score").alias("min"), *_quantiles(), (F.sum(F.col("score") * F.col("all")) / F.sum("all")).alias("mean"), F.max("score").alias("max")]
+
+
 def probability_summary(scored: DataFrame) -> DataFrame:
-    """min, 1, 5, 50, 95 and 99 percent, mean and max; exact, by counts of equal scores."""
-    out = scored.agg(F.min("score").alias("min"), F.percentile("score", F.array(*map(F.lit, QUANTILES.values()))).alias("_p"), F.avg("score").alias("mean"), F.max("score").alias("max"))
-    return out.select("min", *[F.col("_p")[i].alias(k) for i, k in enumerate(QUANTILES)], "mean", "max")
+    """min, 1, 5, 50, 95 and 99 percent, mean and max; exact, by the places of the scores."""
+    return _with_totals(score_groups(ranking(scored)), scored).agg(*_summary())
 
 
-def decile_table(scored: DataFrame, bins: int = 10) -> DataFrame:
+def decile_table(scored: DataFrame, bins: int = 10, *, ranked: DataFrame | None = None) -> DataFrame:
     """Rows ranked by falling score (equal ones by case_id) in ``bins`` equal parts, with lifts."""
-    ranked = running(scored.select("case_id", "y", "score"), [F.desc("score"), F.asc("case_id")], {})
-    rows = ranked.crossJoin(F.broadcast(totals(scored)))
+    rows = _with_totals(ranking(scored) if ranked is None else ranked, scored)
     # As ntile: the first rows % bins parts have one more row.
     small, more = F.floor(F.col("_rows") / bins), F.col("_rows") % bins
     place = F.col("_n") - 1
@@ -109,7 +150,11 @@ def top_deciles(deciles: DataFrame) -> DataFrame:
 
 def calibration(scored: DataFrame, steps: int = 200) -> dict[str, float]:
     """Intercept and slope of y on the logit of the score, by Newton steps of one aggregate each."""
-    rows = scored.select(F.col("y").cast("double").alias("y"), logit(F.col("score")).alias("x")).groupBy("x").agg(F.sum("y").alias("y"), F.count(F.lit(1)).alias("n")).cache()
+    return _newton(scored.groupBy("score").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("all")), steps)
+
+
+def _newton(groups: DataFrame, steps: int) -> dict[str, float]:
+    rows = groups.select(F.col("pos").cast("double").alias("y"), logit(F.col("score")).alias("x"), F.col("all").alias("n")).cache()
     a, b = 0.0, 1.0
     try:
         for _ in range(steps):
@@ -131,10 +176,18 @@ def calibration(scored: DataFrame, steps: int = 200) -> dict[str, float]:
     return {"calibration_intercept": a, "calibration_slope": b}
 
 
-def evaluate(scored: DataFrame) -> dict:
-    """All metrics of a split, as plain values."""
-    n = scored.agg(F.count(F.lit(1)).alias("rows"), F.sum("y").cast("long").alias("positive_cases"), F.avg("y").alias("positive_rate")).first().asDict()
-    out = n | roc_auc(scored).first().asDict() | average_precision(scored).first().asDict() | ks(scored).first().asDict() | brier(scored).first().asDict()
-    out["probability_summary"] = probability_summary(scored).first().asDict()
-    out["deciles"] = [r.asDict() for r in decile_table(scored).orderBy("decile").collect()]
-    return out | calibration(scored)
+def evaluate(scored: DataFrame, steps: int = 200) -> dict:
+    """All metrics of a split, as plain values.
+
+    ``scored`` is ranked once; what order says is read from the ranking, by row or by score.
+    """
+    ranked = ranking(scored)
+    n = ranked.agg(F.count(F.lit(1)).alias("rows"), F.sum("y").cast("long").alias("positive_cases"), F.avg("y").alias("positive_rate")).first().asDict()
+    by_score = materialised(score_groups(ranked), "scores")
+    groups = _with_totals(by_score, ranked)
+    error = (F.sum(F.col("pos") * (1 - F.col("score")) ** 2 + (F.col("all") - F.col("pos")) * F.col("score") ** 2) / F.sum("all")).alias("brier_score")
+    one = groups.agg(*_auc(groups), _precision(groups), error, *_summary()).first().asDict()
+    summary = {k: one.pop(k) for k in ("min", *QUANTILES, "mean", "max")}
+    return n | one | _with_totals(ranked, ranked).agg(_gap()).first().asDict() | {
+        "probability_summary": summary, "deciles": [r.asDict() for r in decile_table(ranked, ranked=ranked).orderBy("decile").collect()],
+    } | _newton(by_score, steps)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.operators.metrics import evaluate
 from casemill.operators.prep import HASH_BUCKETS, Predictors, class_weights, design, numeric_stats, predictor_sets, stats_dict, weight_name
-from casemill.operators.temporal import SPLITS, split_overlaps, split_scan
+from casemill.operators.temporal import SPLITS, expected_rows, split_overlaps, split_scan
 from casemill.plans.assemble import BASE
+from casemill.session import materialised, write_text
 
 
 @dataclass(frozen=True)
@@ -25,52 +27,108 @@ class Baseline:
 
     def score(self, df: DataFrame) -> DataFrame:
         """case_id, y and score: the probability of target 1."""
-        out = self.model.transform(design(df, self.predictors, self.stats, buckets=self.buckets))
-        return out.select("case_id", F.col("target").cast("int").alias("y"), vector_to_array("probability")[1].alias("score"))
+        return scores(self.model, design(df, self.predictors, self.stats, buckets=self.buckets))
 
 
-def fit(train: DataFrame, predictors: Predictors, *, class_weight: str | float | None = None, alpha: float = 1e-4, iterations: int = 50, buckets: int = HASH_BUCKETS) -> Baseline:
-    """Fits means, scales and weights on ``train`` only.
+def prepared(train: DataFrame, predictors: Predictors, *, buckets: int = HASH_BUCKETS) -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """(case_id, target and the vector of features of each row; the means and scales that it was made with)."""
+    stats = stats_dict(numeric_stats(train, list(predictors.numeric))) if predictors.numeric else {}
+    return design(train, predictors, stats, buckets=buckets).select("case_id", "target", "features"), stats
+
 
-    L-BFGS over the whole split takes the place of batches in turn: the same penalised loss, but
+def fit_matrix(matrix: DataFrame, *, class_weight: str | float | None = None, alpha: float = 1e-4, iterations: int = 50) -> LogisticRegressionModel:
+    """L-BFGS over the whole split takes the place of batches in turn: the same penalised loss, but
     the result doesn't depend on the order of rows.
     """
-    stats = stats_dict(numeric_stats(train, list(predictors.numeric))) if predictors.numeric else {}
-    weights = class_weights(train, class_weight)
-    rows = design(train, predictors, stats, buckets=buckets).select("features", F.col("target").cast("double").alias("label"), (F.lit(1.0) if weights is None else F.when(F.col("target") == 1, weights[1]).otherwise(weights[0])).alias("weight"))
+    weights = class_weights(matrix, class_weight)
+    rows = matrix.select("features", F.col("target").cast("double").alias("label"), (F.lit(1.0) if weights is None else F.when(F.col("target") == 1, weights[1]).otherwise(weights[0])).alias("weight"))
     learner = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=alpha, elasticNetParam=0.0, maxIter=iterations, standardization=False)
-    return Baseline(learner.fit(rows), predictors, stats, buckets)
+    return learner.fit(rows)
+
 
+def fit(train: DataFrame, predictors: Predictors, *, class_weight: str | float | None = None, alpha: float = 1e-4, iterations: int = 50, buckets: int = HASH_BUCKETS) -> Baseline:
+    """Fits means, scales and weights on ``train`` only."""
+    matrix, stats = prepared(train, predictors, buckets=buckets)
+    return Baseline(fit_matrix(matrix, class_weight=class_weight, alpha=alpha, iterations=iterations), predictors, stats, buckets)
 
-def verify_inputs(modeling: DataFrame, split: DataFrame, predictors: Predictors) -> dict:
-    values = [r[0] for r in modeling.select("target").distinct().orderBy("target").collect()]
+
+def scores(model: LogisticRegressionModel, matrix: DataFrame) -> DataFrame:
+    return model.transform(matrix).select("case_id", F.col("target").cast("int").alias("y"), vector_to_array("probability")[1].alias("score"))
+
+
+def verify_inputs(modeling: DataFrame, split: DataFrame, predictors: Predictors, most_values: int = 10) -> dict:
+    """What a fit rests on; of the distinct targets the first ``most_values`` are told."""
+    values = [r[0] for r in modeling.select("target").distinct().orderBy("target").limit(most_values).collect()]
     overlaps = split_overlaps(split).first().asDict()
     return {"target_values": values, "predictor_count": len(predictors.all), "label_columns_excluded_from_predictors": not set(BASE) & set(predictors.all), "split_case_overlaps": overlaps, "no_split_case_overlap": not any(overlaps.values())}
 
 
 def run_baseline(modeling: DataFrame, split: DataFrame, keep: list[str], *, class_weight: str | float | None = None, train_limit: int | None = None, eval_limit: int | None = None, alpha: float = 1e-4, iterations: int = 50, buckets: int = HASH_BUCKETS) -> dict:
-    """Metadata and the metrics of all splits."""
+    """Metadata and the metrics of all splits; each split is scored once and its scores written."""
     predictors = predictor_sets(modeling.schema, keep)
     scan = lambda s, n: split_scan(modeling, split, s, list(predictors.all), row_limit=n)
-    base = fit(scan("train", train_limit), predictors, class_weight=class_weight, alpha=alpha, iterations=iterations, buckets=buckets)
-    metrics = {s: evaluate(base.score(scan(s, eval_limit))) for s in SPLITS}
+    matrix, stats = prepared(scan("train", train_limit), predictors, buckets=buckets)
+    matrix = materialised(matrix, "matrix")  # every step of the fit reads it
+    base = Baseline(fit_matrix(matrix, class_weight=class_weight, alpha=alpha, iterations=iterations), predictors, stats, buckets)
+    scored = {s: materialised(base.score(scan(s, eval_limit)), "scored") for s in SPLITS}
+    metrics = {s: evaluate(df) for s, df in scored.items()}
     kinds = {"total": len(predictors.all), "numeric": len(predictors.numeric), "categorical": len(predictors.categorical), "boolean": len(predictors.boolean)}
-    config = {"estimator": "logistic regression (L-BFGS)", "penalty": "l2", "alpha": alpha, "class_weight": class_weight, "max_iterations": iterations, "train_row_limit": train_limit, "categorical_hash_features": buckets}
-    return {"metadata": {"predictor_counts": kinds, "model_config": config, "training_mode": "full" if train_limit is None else "bounded_smoke"}, "metrics": metrics, "baseline": base}
+    config = {"estimator": "logistic regression (L-BFGS)", "penalty": "l2", "alpha": alpha, "class_weight": class_weight, "max_iterations": iterations, "train_row_limit": train_limit, "evaluation_row_limit": eval_limit, "categorical_hash_features": buckets}
+    metadata = {
+        "predictor_counts": kinds, "predictors": {k: list(getattr(predictors, k)) for k in ("numeric", "categorical", "boolean")}, "model_config": config,
+        "training_mode": "full" if train_limit is None else "bounded_smoke", "input_checks": verify_inputs(modeling, split, predictors), "rows": {s: m["rows"] for s, m in metrics.items()},
+    }
+    return {"metadata": metadata, "metrics": metrics, "baseline": base, "scored": scored}
+
+
+ARTIFACTS = ("metadata.json", "metrics.json", "deciles.md", "model", "scores")
 
 
-def weight_diagnostic(modeling: DataFrame, split: DataFrame, keep: list[str], weights=(None, 3.0, 5.0, "balanced"), **options) -> list[dict]:
-    """The validation metrics of a model for each class weight."""
+def write_artifacts(spark: SparkSession, run: dict, folder: str) -> list[str]:
+    """The metadata, metrics, tables of deciles, model and scores of a run, below a folder of any scheme."""
+    folder = folder.rstrip("/")
+    write_text(spark, f"{folder}/metadata.json", json.dumps(run["metadata"], indent=2, sort_keys=True, default=str) + "\n")
+    write_text(spark, f"{folder}/metrics.json", json.dumps(run["metrics"], indent=2, sort_keys=True, default=str) + "\n")
+    write_text(spark, f"{folder}/deciles.md", "\n".join(f"## {s}\n\n{markdown(m['deciles'])}" for s, m in run["metrics"].items()))
+    run["baseline"].model.write().overwrite().save(f"{folder}/model")
+    for s, df in run["scored"].items():
+        df.write.mode("overwrite").parquet(f"{folder}/scores/split={s}")
+    return [f"{folder}/{name}" for name in ARTIFACTS]
+
+
+def markdown(rows: list[dict]) -> str:
+    """A table; numbers with six digits."""
+    if not rows:
+        return ""
+    show = lambda v: f"{v:.6g}" if isinstance(v, float) else "" if v is None else str(v).replace("|", "/")
+    lines = [list(rows[0]), ["-"] * len(rows[0]), *[[show(v) for v in r.values()] for r in rows]]
+    return "".join(f"| {' | '.join(x)} |\n" for x in lines)
+
+
+def weight_diagnostic(modeling: DataFrame, split: DataFrame, keep: list[str], weights=(None, 3.0, 5.0, "balanced"), *, train_limit: int | None = None, eval_limit: int | None = None, alpha: float = 1e-4, iterations: int = 50, buckets: int = HASH_BUCKETS) -> list[dict]:
+    """The validation metrics of a model for each class weight.
+
+    The matrices of train and validation are made and written once, for all weights.
+    """
+    predictors = predictor_sets(modeling.schema, keep)
+    scan = lambda s, n: split_scan(modeling, split, s, list(predictors.all), row_limit=n)
+    matrix, stats = prepared(scan("train", train_limit), predictors, buckets=buckets)
+    matrix = materialised(matrix, "matrix")
+    judged = materialised(design(scan("validation", eval_limit), predictors, stats, buckets=buckets).select("case_id", "target", "features"), "matrix")
     out = []
     for w in weights:
         began = time.perf_counter()
-        v = run_baseline(modeling, split, keep, class_weight=w, **options)["metrics"]["validation"]
+        fitted = fit_matrix(matrix, class_weight=w, alpha=alpha, iterations=iterations)
+        v = evaluate(materialised(scores(fitted, judged), "scored"))
         out.append({"class_weight": weight_name(w), "roc_auc": v["roc_auc"], "pr_auc": v["pr_auc"], "ks": v["ks"], "brier_score": v["brier_score"], "top_decile_lift": v["deciles"][0]["lift"], "seconds": time.perf_counter() - began})
     return out
 
 
-def throughput(modeling: DataFrame, split: DataFrame, keep: list[str], *, row_limit: int | None = None, iterations: int = 3, most_seconds: float = 3600.0) -> dict:
-    """Seconds of each stage, and whether three passes over the whole train split fit the time."""
+def throughput(modeling: DataFrame, split: DataFrame, keep: list[str], *, row_limit: int | None = None, iterations: int = 3, most_seconds: float = 3600.0, buckets: int = HASH_BUCKETS) -> dict:
+    """Seconds of each stage, and whether three passes over the whole train split fit the time.
+
+    Each stage reads what the one before has written, so that no stage's work counts in another.
+    """
     predictors = predictor_sets(modeling.schema, keep)
     out: dict[str, float | bool | int] = {}
 
@@ -80,12 +138,13 @@ def throughput(modeling: DataFrame, split: DataFrame, keep: list[str], *, row_li
         out[f"{name}_seconds"] = time.perf_counter() - began
         return value
 
-    rows = split_scan(modeling, split, "train", list(predictors.all), row_limit=row_limit)
-    n = timed("scan", rows.count)
+    rows = timed("scan", lambda: materialised(split_scan(modeling, split, "train", list(predictors.all), row_limit=row_limit), "rows"))
+    n = rows.count()
     stats = timed("numeric_stats", lambda: stats_dict(numeric_stats(rows, list(predictors.numeric))))
-    timed("transform", lambda: design(rows, predictors, stats).write.format("noop").mode("overwrite").save())
-    base = timed("fit", lambda: fit(rows, predictors, iterations=iterations))
-    timed("score", lambda: base.score(rows).write.format("noop").mode("overwrite").save())
-    whole = split.where(F.col("split") == "train").count()
+    matrix = timed("transform", lambda: materialised(design(rows, predictors, stats, buckets=buckets).select("case_id", "target", "features"), "matrix"))
+    fitted = timed("fit", lambda: fit_matrix(matrix, iterations=iterations))
+    scored = timed("score", lambda: materialised(scores(fitted, matrix), "scored"))
+    timed("evaluate", lambda: evaluate(scored))
+    whole = expected_rows(split, "train")
     full = out["fit_seconds"] * whole / max(n, 1)
-    return out | {"rows": n, "rows_per_second": n * iterations / out["fit_seconds"], "full_fit_seconds": full, "go": full <= most_seconds}
+    return out | {"rows": n, "predictors": len(predictors.all), "rows_per_second": n * iterations / out["fit_seconds"], "full_fit_seconds": full, "go": full <= most_seconds}

@@ -5,6 +5,10 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
+from casemill.session import exists, read_text, write_text
+
 SPLITS = ("train", "validation", "test")
 
 
@@ -34,12 +38,25 @@ def entry(name: str, metadata: dict, metrics: dict, diagnostics: dict, **about)
     }
 
 
-def write(path: str | Path, record: dict, *, official: str | None = None) -> dict:
-    """Adds a record to the registry, in place of one of the same name."""
-    path = Path(path)
-    now = json.loads(path.read_text()) if path.exists() else {"schema_version": 1, "official_benchmark": record["model_name"], "models": []}
+def from_artifacts(spark: SparkSession, name: str, folder: str, diagnostics: dict, **about) -> dict:
+    """The record of a run from the files that ``model.write_artifacts`` left in a folder of any scheme."""
+    folder = folder.rstrip("/")
+    metadata, metrics = (json.loads(read_text(spark, f"{folder}/{x}.json")) for x in ("metadata", "metrics"))
+    return entry(name, metadata, metrics, diagnostics, artifacts=folder, training_mode=metadata["training_mode"], **about)
+
+
+def write(spark: SparkSession, path: str, record: dict, *, official: str | None = None) -> dict:
+    """Adds a record to the registry file, in place of one of the same name; the file is replaced whole."""
+    now = json.loads(read_text(spark, path)) if exists(spark, path) else {"schema_version": 1, "official_benchmark": record["model_name"], "models": []}
     now["models"] = [m for m in now["models"] if m["model_name"] != record["model_name"]] + [record]
+    if official and official not in {m["model_name"] for m in now["models"]}:
+        raise ValueError(f"no record of a model {official!r}")
     now["official_benchmark"] = official or now["official_benchmark"]
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(now, indent=2, sort_keys=True, default=str) + "\n")
+    write_text(spark, path, json.dumps(now, indent=2, sort_keys=True, default=str) + "\n")
     return now
+
+
+def comparison(found: dict, split: str = "test") -> list[dict]:
+    """A row for each model, best first by AUC: its metrics on a split."""
+    rows = [{"model": m["model_name"], "official": m["model_name"] == found["official_benchmark"], **m["metrics"][split]} for m in found["models"]]
+    return sorted(rows, key=lambda r: (-(r["roc_auc"] or 0), r["model"]))

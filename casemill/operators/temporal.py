@@ -146,12 +146,26 @@ def split_scan(modeling: DataFrame, split: DataFrame, name: str, columns: list[s
     wanted = ["case_id", "target", *[c for c in columns if c not in ("case_id", "target")]]
     low, high = week_range(split, name)
     rows = modeling.where(F.col("WEEK_NUM").between(low, high))
-    return rows.orderBy("WEEK_NUM", "case_id").limit(row_limit).select(*wanted) if row_limit is not None else rows.select(*wanted)
+    if row_limit is None:
+        return rows.select(*wanted)
+    # Only the two columns of the order go through one task; the wide rows are then found by the last of them.
+    order = F.struct("WEEK_NUM", "case_id")
+    last = rows.select("WEEK_NUM", "case_id").orderBy("WEEK_NUM", "case_id").limit(row_limit).agg(F.max(order).alias("last")).first()["last"]
+    if last is None:
+        return rows.limit(0).select(*wanted)
+    upto = (F.col("WEEK_NUM") < last["WEEK_NUM"]) | ((F.col("WEEK_NUM") == last["WEEK_NUM"]) & (F.col("case_id") <= last["case_id"]))
+    return rows.where(upto).orderBy("WEEK_NUM", "case_id").select(*wanted)
 
 
 def expected_rows(split: DataFrame, name: str, row_limit: int | None = None) -> int:
-    n = split.where(F.col("split") == name).count()
-    return n if row_limit is None else min(n, row_limit)
+    found = expected_row_counts(split, row_limit).where(F.col("split") == name).first()
+    return found["rows"] if found else 0
+
+
+def expected_row_counts(split: DataFrame, row_limit: int | None = None) -> DataFrame:
+    """split and rows: how many of each split a scan gives."""
+    n = F.count(F.lit(1))
+    return split.groupBy("split").agg((n if row_limit is None else F.least(n, F.lit(row_limit))).alias("rows"))
 
 
 def config(b: Boundary, split: DataFrame, labels: DataFrame) -> dict:

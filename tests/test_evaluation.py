@@ -154,12 +154,55 @@ def test_baseline(spark, tmp_path):
     t = model.throughput(df, split, ["x", "c"], row_limit=100)
     assert t["rows"] == 100 and t["go"]
     record = registry.entry("m", run["metadata"], run["metrics"], temporal.checked_diagnostics(split), role="baseline")
-    registry.write(tmp_path / "r.json", record)
-    registry.write(tmp_path / "r.json", {**record, "model_name": "n"})
+    registry.write(spark, str(tmp_path / "r.json"), record)
+    found = registry.write(spark, str(tmp_path / "r.json"), {**record, "model_name": "n"})
+    assert [r["model"] for r in registry.comparison(found)] == ["m", "n"]
+    with pytest.raises(ValueError, match="nobody"):
+        registry.write(spark, str(tmp_path / "r.json"), record, official="nobody")
     both = json.loads((tmp_path / "r.json").read_text())
     assert [m["model_name"] for m in both["models"]] == ["m", "n"] and both["official_benchmark"] == "m"
 
 
+def test_fit_meets_its_optimum(spark):
+    """The gradient of the penalised loss is zero at the weights, by plain code on the same matrix."""
+    import numpy as np
+
+    rng = random.Random(5)
+    rows = [(i, int(rng.random() < 1 / (1 + math.exp(-x))), x, rng.choice("abc")) for i in range(400) for x in [rng.gauss(0, 1)]]
+    df = spark.createDataFrame(rows, "case_id long, target long, x double, c string")
+    p = prep.predictor_sets(df.schema, ["x", "c"])
+    matrix, stats = model.prepared(df, p, buckets=32)
+    for weight in (None, "balanced", 3.0):
+        fitted = model.fit_matrix(matrix, class_weight=weight, alpha=0.01, iterations=200)
+        got = matrix.collect()
+        x, y = np.array([r.features.toArray() for r in got]), np.array([r.target for r in got])
+        w = np.array([(prep.class_weights(df, weight) or {0: 1.0, 1: 1.0})[t] for t in y])
+        prob = 1 / (1 + np.exp(-(x @ fitted.coefficients.toArray() + fitted.intercept)))
+        assert np.abs(x.T @ (w * (prob - y)) / w.sum() + 0.01 * fitted.coefficients.toArray()).max() < 1e-4 and abs((w * (prob - y)).sum() / w.sum()) < 1e-4
+        scored = {r.case_id: r.score for r in model.scores(fitted, matrix).collect()}
+        assert all(abs(scored[r.case_id] - q) < 1e-9 for r, q in zip(got, prob, strict=True))
+
+
+def test_each_split_is_scored_once(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, int(rng.random() < 0.4), "2020-01-01", i // 30, 202001, rng.random()) for i in range(200)]
+    df = spark.createDataFrame(rows, "case_id long, target long, date_decision string, WEEK_NUM long, MONTH long, x double")
+    split, _ = temporal.temporal_split(df)
+    seen = []
+    real = model.Baseline.score
+    monkeypatch.setattr(model.Baseline, "score", lambda self, rows: seen.append(1) or real(self, rows))
+    run = model.run_baseline(df, split, ["x"], iterations=3, buckets=8)
+    assert len(seen) == 3 and all("Logistic" not in x._jdf.queryExecution().toString() and "UDF" not in x._jdf.queryExecution().toString() for x in run["scored"].values())
+
+
+def test_limited_scan_with_few_rows(spark):
+    df = spark.createDataFrame([(i, i % 2, i // 4, f"c{i}") for i in range(20)], "case_id long, target long, WEEK_NUM long, v string")
+    split = df.selectExpr("case_id", "target", "WEEK_NUM", "'train' as split")
+    for n in (0, 1, 7, 20, 50):
+        assert [r.case_id for r in temporal.split_scan(df, split, "train", ["v"], row_limit=n).collect()] == list(range(min(n, 20)))
+    assert temporal.expected_rows(split, "train", 7) == 7 and temporal.expected_rows(split, "train") == 20 and temporal.expected_rows(split, "test") == 0
+
+
 def test_paths(tmp_path):
     assert registry.inside("a/b", tmp_path) == "a/b"
     with pytest.raises(ValueError):

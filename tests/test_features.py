@@ -97,14 +97,13 @@ def test_malformed_dates_fail(spark):
         assemble.assemble(base, tables, specs.registry(columns())).collect()
 
 
-def test_coverage_and_summary():
-    cols = columns()
-    found = catalog.coverage(cols, {"amount_1A": "x", "other": "y"})
-    assert "other" in found["definitions_not_in_training_tables"] and "flag" in found["columns_without_descriptions"]
-    s = catalog.table_summary("applprev_1", 7, [c for c in cols if c.logical_table == "applprev_1"])
-    assert s["historical_grain"] == "repeated records identified by case_id, num_group1" and s["logical_family"] == "previous_application"
-    assert s["ambiguous_columns"] == ["flag"] and "delinquency/payment behavior summaries" in s["feature_engineering_categories"]
-    assert catalog.table_summary("base", 1, [c for c in cols if c.logical_table == "base"])["leakage_candidates"] == ["target"]
+def test_table_summaries(spark):
+    cols = catalog.catalog_frame(spark, columns())
+    found = {r.logical_table: r for r in catalog.table_summaries(cols, catalog.tables_frame(spark, {"applprev_1": 7, "base": 1, "static_0": 0})).collect()}
+    s = found["applprev_1"]
+    assert (s.grain_columns, s.logical_family, s.row_count, s.column_count, s.unclear_columns) == ("case_id,num_group1", "previous_application", 7, 7, "flag")
+    assert catalog.IDEAS["payment"] in s.feature_ideas and catalog.REPEATED_IDEA in s.feature_ideas and catalog.STATIC_IDEA in found["static_0"].feature_ideas
+    assert found["base"].leakage_columns == "target" and found["base"].key_columns == "MONTH,WEEK_NUM,case_id,date_decision,target"
 
 
 def test_structural_rules(spark):
@@ -128,7 +127,10 @@ def test_semantic_rules_and_duplicates(spark):
         got = sorted((r.feature_name, r.decision) for r in rows)
         assert got == [("a", "exclude"), ("b", "exclude"), ("b", "keep"), ("c", "exclude"), ("d", "exclude"), ("e", "review_later"), ("g", "exclude")]
         assert {r.leakage_status for r in rows if r.feature_name == "a"} == {"excluded_leakage"}
-    assert [s.feature_name for s in selection.kept_specs(spec, selection.select_features(selection.specs_frame(spark, spec[1:2]), cat, stats))] == ["b", "b"]
+    found = selection.manifest(selection.select_features(selection.specs_frame(spark, spec), cat, stats))
+    assert [(s.feature_name, s.source_columns) for s in selection.kept_specs(spec, found)] == [("b", ("eir_270L",))] and selection.kept_names(found) == ["b"]
+    with pytest.raises(ValueError, match="b"):
+        selection.kept_specs(spec[:1], found)
 
 
 def test_export(spark, tmp_path):
@@ -156,3 +158,77 @@ def test_failed_write_keeps_the_old(spark, tmp_path):
     with pytest.raises(export.ExportError):
         export.write_checked(bad.select("x", "case_id"), path, schema)
     assert spark.read.parquet(path).count() == 4 and [p.name for p in tmp_path.iterdir()] == ["x"]
+
+
+class Killed(BaseException):
+    pass
+
+
+def stop_at(monkeypatch, module, nth):
+    """Makes the ``nth`` renaming of a module fail as if the process were killed there."""
+    real, seen = module.rename, []
+
+    def rename(spark, old, new):
+        seen.append(new)
+        if len(seen) == nth:
+            raise Killed
+        real(spark, old, new)
+
+    monkeypatch.setattr(module, "rename", rename)
+
+
+def test_write_stopped_at_any_renaming_keeps_the_old(spark, tmp_path, monkeypatch):
+    path, df = str(tmp_path / "x"), spark.range(3)
+    export.write_checked(df, path)
+    for nth in (1, 2):
+        with monkeypatch.context() as m:
+            stop_at(m, export, nth)
+            with pytest.raises(Killed):
+                export.write_checked(spark.range(5), path)
+        assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["x"]
+
+
+def test_killed_between_the_renamings(spark, tmp_path):
+    """As a dead process leaves it: the old data aside and nothing in place."""
+    path = str(tmp_path / "x")
+    export.write_checked(spark.range(3), path)
+    (tmp_path / "x").rename(tmp_path / "x.old-1")
+    spark.range(9).write.parquet(str(tmp_path / "x.tmp-2"))
+    export.settle(spark, path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["x"]
+    (tmp_path / "x").rename(tmp_path / "x.old-1")
+    assert export.write_checked(spark.range(4), path) == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["x"]
+
+
+def test_smoke_and_full_exports_stand_beside_each_other(spark, tmp_path):
+    base, tables = frames(spark)
+    own = specs.registry(columns())
+    full, smoke = (lambda: export.Exporter(spark, str(tmp_path))), (lambda: export.Exporter(spark, str(tmp_path), smoke_limit=2))
+    for make in (full, smoke):
+        assert set(make().run(base, tables, own).values()) == {"success"}
+    for make in (full, smoke):
+        assert set(make().run(base, tables, own).values()) == {"skipped"}
+    assert set(export.Exporter(spark, str(tmp_path), smoke_limit=1).run(base, tables, own).values()) == {"success"}
+    assert full().entries()["base_labels"]["row_count"] == 3 and smoke().entries()["base_labels"]["row_count"] == 1
+    assert all(x["ok"] for x in full().validate(3, own)) and not all(x["ok"] for x in full().validate(4, own))
+    keep = ["static_0__amount_1a__direct"]
+    assert full().joined(keep).columns[-1:] == keep and len(full().joined(keep).columns) == 6
+    with pytest.raises(export.ExportError, match="gone"):
+        full().joined(["gone"])
+
+
+def test_batches_are_written_as_they_come(spark, tmp_path):
+    schema = T.StructType.fromDDL("case_id long")
+    batches = ([(i,)] * 10 for i in range(25))
+    assert export.write_batches(spark, batches, schema, str(tmp_path / "x"), rows_at_once=100) == 250
+    assert len(list((tmp_path / "x").glob("part-*"))) == 3 and spark.read.parquet(str(tmp_path / "x")).count() == 250
+    assert export.write_batches(spark, iter([]), schema, str(tmp_path / "y")) == 0 and spark.read.parquet(str(tmp_path / "y")).count() == 0
+    with pytest.raises(RuntimeError):
+        export.write_batches(spark, broken(), schema, str(tmp_path / "x"))
+    assert spark.read.parquet(str(tmp_path / "x")).count() == 250
+
+
+def broken():
+    yield [(1,)]
+    raise RuntimeError
