@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from casemill.cases import DEFINITIONS
+from casemill.plans.selection import REVIEWED
+
 # The roles of the driver's tables, as common table expressions.
 BASE = """base AS (
     SELECT o_orderkey AS case_id, CAST(o_orderstatus = 'F' AS BIGINT) AS target, strftime(o_orderdate, '%Y-%m-%d') AS date_decision,
@@ -82,8 +85,13 @@ def _grouped(name: str, source: str, features: list[tuple[str, str]], where: str
     return f"{name} AS (SELECT case_id, {', '.join(f'{e} AS {n}' for n, e in features)} FROM {source} JOIN base USING (case_id) {where} GROUP BY case_id)"
 
 
+def _round(x: str, places: int = 4) -> str:
+    """With the push that all rounded numbers get."""
+    return f"round({x} + 1e-{places + 5}, {places})"
+
+
 def _rounded(features: list[tuple[str, str]], places: int = 4) -> str:
-    return ", ".join(f"round({n}, {6 if 'discount' in n else 5 if n.endswith('price__mean') else places}) AS {n}" for n, _ in features)
+    return ", ".join(f"{_round(n, places)} AS {n}" for n, _ in features)
 
 
 def _static(flag: str) -> str:
@@ -95,7 +103,7 @@ IN_SOURCE = "CASE WHEN static_0.case_id IS NOT NULL THEN CAST(static_0.{c} IS NU
 
 
 def _layer(base: str = "base", flag: str = MISSING, static: str = "") -> str:
-    static = static or ", ".join(f"round(static_0.{c}, 4) AS static_0__{c}__direct" if c in ("totalprice", "acctbal") else f"static_0.{c} AS static_0__{c}__direct" for c, _ in STATIC_COLUMNS)
+    static = static or ", ".join(f"{_round(f'static_0.{c}')} AS static_0__{c}__direct" if c in ("totalprice", "acctbal") else f"static_0.{c} AS static_0__{c}__direct" for c, _ in STATIC_COLUMNS)
     flags = ", ".join(f"{flag.format(c=c)} AS static_0__{c}__is_missing" for c, f in STATIC_COLUMNS if f)
     return (
         f"SELECT {COLUMNS}, {_rounded(APPLPREV)}, {_rounded(PERSON)}, {static}, {flags} "
@@ -110,13 +118,12 @@ def _with(*parts: str) -> str:
 GROUPS = (BASE, HISTORY, EVENTS, STATIC, _grouped("applprev", "history", APPLPREV), _grouped("persons", "person", PERSON))
 
 
-def _profile_sql(name: str, depth: str, source: str, second: bool) -> str:
-    grain = "case_id, num_group1" + (", num_group2" if second else "")
-    group2 = "count(*) FILTER (WHERE num_group2 IS NULL), count(*) FILTER (WHERE num_group2 < 0)" if second else "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"
+def _profile_sql(name: str, depth: str, source: str, groups: int) -> str:
+    grain = ", ".join(["case_id", "num_group1", "num_group2"][: groups + 1])
+    group = lambda k, test, kind: (f"count(*) FILTER (WHERE num_group{k} {test})" if k <= groups else "CAST(NULL AS BIGINT)") + f" AS {kind}_num_group{k}_count"
     return f"""SELECT '{name}' AS table_name, '{depth}' AS logical_depth, round(count(DISTINCT case_id) / (SELECT count(DISTINCT case_id) FROM base) * 100, 6) AS base_case_coverage_pct,
         count(*) AS row_count, count(DISTINCT case_id) AS distinct_case_id_count, count(*) FILTER (WHERE case_id IS NULL) AS null_case_id_count,
-        count(*) FILTER (WHERE num_group1 IS NULL) AS null_num_group1_count, count(*) FILTER (WHERE num_group1 < 0) AS negative_num_group1_count,
-        {group2.replace('), count', ') AS null_num_group2_count, count') if second else 'CAST(NULL AS BIGINT) AS null_num_group2_count, CAST(NULL AS BIGINT)'} AS negative_num_group2_count,
+        {", ".join(group(k, t, w) for k in (1, 2) for t, w in (("IS NULL", "null"), ("< 0", "negative")))},
         (SELECT count(DISTINCT case_id) FROM {source} WHERE case_id NOT IN (SELECT case_id FROM base)) AS orphan_case_id_count,
         (SELECT min(n) FROM (SELECT count(*) AS n FROM {source} GROUP BY case_id)) AS min_rows_per_case,
         round((SELECT quantile_cont(n, 0.5) FROM (SELECT count(*) AS n FROM {source} GROUP BY case_id)), 6) AS median_rows_per_case,
@@ -131,13 +138,13 @@ def _check(name: str, status: str, table: str, message: str) -> str:
     return f"SELECT '{name}' AS check_name, {status} AS status, '{table}' AS table_name, {message} AS message"
 
 
-def _checks(with_events: bool) -> str:
+def _checks() -> str:
     """The rules of all tables; the base comes twice, as itself and among the tables."""
     fail = lambda n: f"CASE WHEN {n} > 0 THEN 'FAIL' ELSE 'PASS' END"
     warn = lambda n: f"CASE WHEN {n} > 0 THEN 'WARNING' ELSE 'PASS' END"
     others = "(SELECT count(*) FROM base WHERE target NOT IN (0, 1))"
     out = [_check("target_validity", fail(others), "base", f"'0 null, ' || {others} || ' neither 0 nor 1'"), _check("row_preservation", "'PASS'", "base", "(SELECT count(*) FROM base) || ' raw, ' || (SELECT count(*) FROM base) || ' staged'").replace("'row_preservation'", "'source_to_staging_row_preservation'")]
-    tables = [("base", "base", "case_id"), ("base", "base", "case_id"), ("applprev_1", "history", "case_id, num_group1")] + [("person_2", "person", "case_id, num_group1, num_group2")] * with_events
+    tables = [("base", "base", "case_id"), ("base", "base", "case_id"), ("static_0", "static_0", "case_id"), ("applprev_1", "history", "case_id, num_group1"), ("person_2", "person", "case_id, num_group1, num_group2")]
     for i, (name, source, grain) in enumerate(tables):
         nulls = f"(SELECT count(*) FROM {source} WHERE case_id IS NULL)"
         twins = f"(SELECT (SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT {grain} FROM {source})))"
@@ -149,10 +156,113 @@ def _checks(with_events: bool) -> str:
     return " UNION ALL ".join(out)
 
 
+def _values(rows, names: str) -> str:
+    text = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return f"(VALUES {', '.join('(' + ', '.join(map(text, r)) + ')' for r in rows)}) AS v({names})"
+
+
+TABLE_COLUMNS = [
+    *(("base", c, t) for c, t in (("case_id", "bigint"), ("target", "bigint"), ("date_decision", "string"), ("WEEK_NUM", "int"), ("MONTH", "int"))),
+    *(("static_0", c, t) for c, t in (("case_id", "bigint"), ("totalprice", "double"), ("priority", "string"), ("acctbal", "double"), ("mktsegment", "string"), ("nation", "int"))),
+    *(("applprev_1", c, t) for c, t in (("case_id", "bigint"), ("num_group1", "bigint"), ("quantity", "double"), ("extendedprice", "double"), ("discount", "double"), ("shipdate_1D", "string"), ("returnflag_1M", "string"), ("linestatus_1M", "string"))),
+    *(("person_2", c, t) for c, t in (("case_id", "bigint"), ("num_group1", "bigint"), ("num_group2", "bigint"), ("value", "double"), ("event_type", "string"), ("event_time_2D", "string"))),
+]
+CATEGORY = """CASE WHEN regexp_matches(t, 'payment|installment|paid|dpd|past due') THEN 'payment' WHEN regexp_matches(t, 'amount|annuity|income|price|payment|paid|debt') THEN 'amount' WHEN regexp_matches(t, 'date|days|dpd|past due|month|week') THEN 'date/days'
+                WHEN regexp_matches(t, 'status|type|category|role|education|marital') THEN 'categorical status' WHEN regexp_matches(t, 'number of|count|times') THEN 'count'
+                WHEN regexp_matches(t, 'person|birth|employment|address|district|gender') THEN 'demographic' WHEN regexp_matches(t, 'application|applicant|request|decision') THEN 'application'
+                WHEN regexp_matches(t, 'credit bureau|bureau|contract|loan|debt') THEN 'bureau/credit history' WHEN regexp_matches(t, 'collateral|property|real estate') THEN 'collateral/property'
+                WHEN regexp_matches(t, 'tax|registry|deduction') THEN 'tax/registry' ELSE 'ambiguous' END"""
+CATALOG = f"""defined AS (SELECT * FROM {_values(sorted(DEFINITIONS.items()), 'column_name, description')}),
+    known AS (SELECT * FROM {_values(TABLE_COLUMNS, 'logical_table, column_name, data_type')}),
+    described AS (SELECT known.*, description, lower(coalesce(description, '')) AS t, column_name IN ('case_id', 'num_group1', 'num_group2') AS k, column_name = 'target' AS o, column_name IN ('WEEK_NUM', 'MONTH', 'date_decision') AS m FROM known LEFT JOIN defined USING (column_name)),
+    catalog AS (
+        SELECT logical_table, column_name, description, data_type, CASE right(logical_table, 2) WHEN '_0' THEN 'depth 0' WHEN '_1' THEN 'depth 1' WHEN '_2' THEN 'depth 2' ELSE 'base' END AS table_depth,
+               k AS is_key_or_grouping_field, o AS is_target, m AS is_metadata_field, CASE WHEN k THEN 'key/grouping' WHEN o THEN 'target' WHEN column_name = 'date_decision' THEN 'date/days' WHEN m THEN 'time index' ELSE {CATEGORY} END AS semantic_category,
+               CASE WHEN right(logical_table, 2) IN ('_1', '_2') THEN 'repeated/history-based' ELSE 'static' END AS static_or_repeated,
+               CASE WHEN k THEN 'key/grouping' WHEN o THEN 'target' WHEN m THEN 'metadata/time' WHEN description IS NULL THEN 'candidate predictor; meaning ambiguous' ELSE 'candidate predictor' END AS modeling_role,
+               o OR (description IS NOT NULL AND regexp_matches(lower(column_name || ' ' || description), 'target|default|decision|approval')) AS leakage_candidate FROM described)"""
+REGISTRY = """steps AS (SELECT * FROM (VALUES ('direct'), ('is_missing'), ('min'), ('mean'), ('max'), ('std'), ('sum'), ('n_distinct'), ('min_days_before_decision'), ('mean_days_before_decision'), ('max_days_before_decision')) AS v(s)),
+    made AS (
+        SELECT DISTINCT logical_table, 'records' AS part, 'case_id' AS source_columns, 'count' AS s, '' AS category FROM catalog WHERE static_or_repeated <> 'static'
+        UNION ALL SELECT logical_table, column_name, column_name, s, semantic_category FROM catalog, steps WHERE logical_table <> 'base' AND NOT is_key_or_grouping_field AND CASE
+            WHEN table_depth = 'depth 0' THEN s = 'direct' OR (s = 'is_missing' AND semantic_category IN ('amount', 'date/days', 'payment'))
+            WHEN data_type IN ('double', 'int', 'bigint') THEN s IN ('min', 'mean', 'max', 'std') OR (s = 'sum' AND semantic_category IN ('amount', 'payment', 'count'))
+            WHEN semantic_category = 'date/days' THEN s LIKE '%days_before_decision' ELSE s = 'n_distinct' END),
+    registry AS (
+        SELECT logical_table || '__' || lower(part) || '__' || s AS feature_name, CASE logical_table WHEN 'static_0' THEN 'static applicant/bureau snapshots' WHEN 'applprev_1' THEN 'previous applications' ELSE 'person/participant histories' END AS feature_family,
+               logical_table AS source_table, source_columns, s AS transformation, category FROM made)"""
+
+
+def _decisions() -> str:
+    """The registry with a decision for each feature, by what its values are in the whole layer."""
+    names = [n for n, _ in APPLPREV + PERSON] + [f"static_0__{c}__{k}" for c, f in STATIC_COLUMNS for k in ("direct", "is_missing") if f or k == "direct"]
+    one = lambda n: f"SELECT '{n}' AS feature_name, count({n}) AS n, count(DISTINCT {n}) AS d, (SELECT max(c) FROM (SELECT count(*) AS c FROM layer WHERE {n} IS NOT NULL GROUP BY {n})) AS top FROM layer"
+    return f"""layer AS ({_layer()}), stats AS ({' UNION ALL '.join(map(one, names))}),
+    judged AS (
+        SELECT registry.*, CASE WHEN n IS NULL THEN 'Absent from the sample.' WHEN category = 'ambiguous' THEN 'Meaning ambiguous.' WHEN n > 0 AND n < 10 AND transformation IN ('direct', 'is_missing') THEN 'Very sparse in the sample.'
+            WHEN n > 0 AND d <= 1 AND transformation IN ('direct', 'is_missing', 'n_distinct') THEN 'Constant in the sample.' WHEN n > 0 AND top / n >= 0.995 AND transformation IN ('direct', 'is_missing', 'n_distinct') THEN 'Nearly constant in the sample.' ELSE 'Supported lineage.' END AS reason
+        FROM registry LEFT JOIN stats USING (feature_name)),
+    decisions AS (SELECT *, CASE reason WHEN 'Absent from the sample.' THEN 'exclude' WHEN 'Supported lineage.' THEN 'keep' ELSE 'review_later' END AS decision FROM judged)"""
+
+
+def _newton(steps: int = 20) -> str:
+    """Newton steps for intercept a and slope b, each a row of its own."""
+    out = ["i0 AS (SELECT CAST(0 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS b)"]
+    for k in range(steps):
+        sums = f"SELECT a, b, sum(y - n * p) AS g, sum((y - n * p) * x) AS gx, sum(n * p * (1 - p)) AS h, sum(n * p * (1 - p) * x) AS hx, sum(n * p * (1 - p) * x * x) AS hxx FROM (SELECT a, b, x, y, n, 1 / (1 + exp(-(a + b * x))) AS p FROM points, i{k}) GROUP BY a, b"
+        out.append(f"i{k + 1} AS (SELECT a + (hxx * g - hx * gx) / (h * hxx - hx * hx) AS a, b + (h * gx - hx * g) / (h * hxx - hx * hx) AS b FROM ({sums}))")
+    return ", ".join(out)
+
+
+IDEAS = {"payment": "how late and how complete payments are", "date/days": "time since and between dates", "amount": "sums and shares of amounts", "bureau/credit history": "obligations open and settled", "demographic": "who takes part in the case"}
+SELECTED = [
+    ("static_0__acctbal__direct", "keep"), ("static_0__acctbal__is_missing", "keep"), ("static_0__eir_270l__direct", "keep"), ("static_0__isdebitcard_729l__direct", "review_later"), ("static_0__mktsegment__direct", "keep"),
+    ("static_0__nation__direct", "keep"), ("static_0__priority__direct", "keep"), ("static_0__totalprice__direct", "keep"), ("static_0__totalprice__is_missing", "keep"), ("static_0__workplace_1m__direct", "exclude"),
+]
+
+
+def _planned() -> dict[str, str]:
+    """Of catalogs, registries, selections and runs."""
+    listed = lambda test: f"coalesce(string_agg(column_name, ',' ORDER BY column_name) FILTER (WHERE {test}), '')"
+    sizes = "SELECT 'base' AS logical_table, 'base' AS logical_family, count(*) AS n FROM base UNION ALL SELECT 'static_0', 'static', count(*) FROM static_0 UNION ALL SELECT 'applprev_1', 'previous_application', count(*) FROM history UNION ALL SELECT 'person_2', 'person', count(*) FROM person"
+    kept = [f"{_round(f'static_0.{c}')} AS static_0__{c}__direct, {IN_SOURCE.format(c=c).replace('AS INTEGER', 'AS BIGINT')} AS static_0__{c}__is_missing" for c in ("acctbal", "totalprice")]
+    modeling = ", m AS (SELECT case_id, totalprice, acctbal, CAST(nation AS DOUBLE) AS nation, acctbal > 5000 AS rich FROM base LEFT JOIN static_0 USING (case_id)), s AS (SELECT avg(totalprice) AS a, stddev_pop(totalprice) AS b, avg(acctbal) AS c, stddev_pop(acctbal) AS d, avg(nation) AS e, stddev_pop(nation) AS f FROM m) "
+    return {
+        "catalog_columns": _with(CATALOG) + "SELECT *, CASE WHEN semantic_category = 'ambiguous' THEN 'Meaning ambiguous from supplied definition.' ELSE '' END AS notes FROM catalog",
+        "table_summaries": _with(BASE, HISTORY, EVENTS, STATIC, CATALOG) + f""", sizes AS ({sizes}), ideas AS (
+            SELECT logical_table, idea FROM catalog JOIN {_values(IDEAS.items(), 'semantic_category, idea')} USING (semantic_category) UNION SELECT logical_table, CASE WHEN static_or_repeated = 'static' THEN 'values as they are and whether they are missing' ELSE 'numbers of rows, extremes and means by case' END FROM catalog),
+            said AS (SELECT logical_table, string_agg(idea, '; ' ORDER BY idea) AS feature_ideas FROM ideas GROUP BY 1)
+            SELECT logical_table, logical_family, table_depth, static_or_repeated, n AS row_count, count(*) AS column_count, {listed('is_key_or_grouping_field')} AS grain_columns, {listed('is_key_or_grouping_field OR is_target OR is_metadata_field')} AS key_columns,
+                   {listed("modeling_role LIKE 'candidate%'")} AS predictor_columns, {listed("semantic_category = 'ambiguous'")} AS unclear_columns, {listed('leakage_candidate')} AS leakage_columns, feature_ideas
+            FROM catalog JOIN sizes USING (logical_table) JOIN said USING (logical_table) GROUP BY ALL""",
+        "definition_coverage": _with(CATALOG) + """, c AS (SELECT DISTINCT column_name FROM known), lacking AS (SELECT column_name FROM c EXCEPT SELECT column_name FROM defined), unused AS (SELECT column_name FROM defined EXCEPT SELECT column_name FROM c)
+            SELECT column_name AS value, 'columns_without_descriptions' AS kind FROM lacking UNION ALL SELECT column_name, 'definitions_not_in_training_tables' FROM unused UNION ALL SELECT CAST(count(*) AS VARCHAR), 'definition_count' FROM defined
+            UNION ALL SELECT CAST(count(*) AS VARCHAR), 'source_column_count' FROM c UNION ALL SELECT CAST(count(*) AS VARCHAR), 'represented_source_column_count' FROM c JOIN defined USING (column_name)
+            UNION ALL SELECT CAST(count(*) AS VARCHAR), 'missing_description_count' FROM lacking UNION ALL SELECT CAST(count(*) AS VARCHAR), 'unused_definition_count' FROM unused""",
+        "definitions_file": f"SELECT * FROM {_values(sorted(DEFINITIONS.items()), 'name, description')}",
+        "feature_registry": _with(CATALOG, REGISTRY) + "SELECT feature_name, feature_family, source_table, source_columns, transformation FROM registry",
+        "registry_family_counts": _with(CATALOG, REGISTRY) + "SELECT feature_family, count(*) AS features FROM registry GROUP BY 1",
+        "feature_selection": _with(*GROUPS, CATALOG, REGISTRY, _decisions()) + "SELECT feature_name, feature_family, source_table, transformation, decision, reason, 'reviewed' AS leakage_status FROM decisions",
+        "selection_counts": _with(*GROUPS, CATALOG, REGISTRY, _decisions()) + "SELECT feature_family, decision, count(*) AS features FROM decisions GROUP BY 1, 2",
+        "selection_manifest": f"SELECT * FROM {_values(SELECTED, 'feature_name, decision')}",
+        "modeling_frame": _with(BASE, STATIC) + f"SELECT {COLUMNS}, {', '.join(kept)}, {_round('static_0.totalprice / 4')} AS static_0__eir_270l__direct, mktsegment AS static_0__mktsegment__direct, CAST(nation AS BIGINT) AS static_0__nation__direct, priority AS static_0__priority__direct FROM base LEFT JOIN static_0 USING (case_id)",
+        "reviewed_columns": f"SELECT * FROM {_values(REVIEWED, 'source_table, source_column, decision')}",
+        "export_validation": "SELECT f AS file, e AS exported, CASE WHEN e THEN (SELECT count(*) FROM orders) END AS \"rows\", e AS ok FROM (VALUES ('base_labels', true), ('static_features', true), ('previous_application_features', false), ('person_features', false)) AS v(f, e)",
+        "store_validation": "SELECT 'applprev_1' AS table_name, true AS loaded, count(*) AS source_rows, count(*) AS loaded_rows, true AS ok FROM lineitem UNION ALL SELECT 'base', true, count(*), count(*), true FROM orders UNION ALL SELECT 'static_0', false, NULL, NULL, false",
+        "predictor_kinds": f"SELECT * FROM {_values([('totalprice', 'numeric'), ('acctbal', 'numeric'), ('nation', 'numeric'), ('priority', 'categorical'), ('mktsegment', 'categorical'), ('rich', 'boolean')], 'predictor, kind')}",
+        "hashed_design": _with(BASE, STATIC) + modeling + f"""SELECT case_id, 4100 AS size, {_round('(coalesce(totalprice, a) - a) / b + (coalesce(acctbal, c) - c) / d + (coalesce(nation, e) - e) / f', 5)} AS numbers,
+            {_round('coalesce(CAST(rich AS DOUBLE), -1.0)', 5)} AS booleans, {_round('2.0', 5)} AS hashed FROM m, s""",
+        "calibration": _with(SCORED) + f", points AS (SELECT ln(score / (1 - score)) AS x, sum(y) AS y, count(*) AS n FROM scored GROUP BY 1), {_newton()} SELECT round(a, 6) AS intercept, round(b, 6) AS slope FROM i20",
+        "baseline_artifacts": _with(BASE, SPLIT) + "SELECT split, count(*) AS \"rows\", CAST(sum(target) AS BIGINT) AS positive_cases, 10 AS deciles, CAST(sum(target) AS BIGINT) AS decile_positives, true AS auc_in_range, count(*) AS scores FROM split GROUP BY 1",
+        "model_registry": _with(BASE, SPLIT) + "SELECT m AS model, m = 'first' AS official, (SELECT min(\"WEEK_NUM\") FROM split WHERE split = 'test') AS test_week_start, (SELECT max(\"WEEK_NUM\") FROM split WHERE split = 'test') AS test_week_end FROM (VALUES ('first'), ('second')) AS v(m)",
+        "training_throughput": _with(BASE, SPLIT) + "SELECT least(count(*), 1000) AS \"rows\", 6 AS predictors, true AS go FROM split WHERE split = 'train'",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out = {
-        "quality_checks": _with(BASE, HISTORY, EVENTS) + _checks(True),
-        "quality_summary": _with(BASE, HISTORY) + f"SELECT s AS status, (SELECT count(*) FROM ({_checks(False)}) WHERE status = s) AS checks FROM (VALUES ('PASS'), ('WARNING'), ('FAIL')) AS v(s)",
+        "quality_checks": _with(BASE, HISTORY, EVENTS, STATIC) + _checks(),
+        "quality_summary": _with(BASE, HISTORY, EVENTS, STATIC) + f"SELECT s AS status, (SELECT count(*) FROM ({_checks()}) WHERE status = s) AS checks FROM (VALUES ('PASS'), ('WARNING'), ('FAIL')) AS v(s)",
         "family_export": "SELECT f AS family, (SELECT count(*) FROM orders) AS row_count, c AS column_count, 'success' AS completion_status FROM (VALUES ('base_labels', 5), ('static_features', 8), ('previous_application_features', 21), ('person_features', 11)) AS v(f, c)",
         "file_inventory": _with(STATIC) + """SELECT 'train_base.parquet' AS file_name, (SELECT count(*) FROM orders) AS row_count, 5 AS column_count, 'base' AS logical_family, CAST(NULL AS BIGINT) AS depth, 'case_id,target,date_decision,WEEK_NUM,MONTH' AS key_columns
             UNION ALL SELECT 'train_applprev_1_0.parquet', (SELECT count(*) FROM lineitem WHERE l_orderkey % 2 = 0), 8, 'previous_application', 1, 'case_id,num_group1'
@@ -170,7 +280,7 @@ def oracle_sql() -> dict[str, str]:
         "feature_layer": _with(*GROUPS) + _layer(),
         "feature_layer_smoke": _with(*GROUPS) + _layer("(SELECT * FROM base ORDER BY case_id LIMIT 100)"),
         "family_join": _with(*GROUPS) + _layer(flag="CAST(" + IN_SOURCE + " AS BIGINT)", static=", ".join(
-            f"round(static_0.{c}, 4) AS static_0__{c}__direct" if c in ("totalprice", "acctbal") else f"CAST(static_0.{c} AS BIGINT) AS static_0__{c}__direct" if c == "nation" else f"static_0.{c} AS static_0__{c}__direct" for c, _ in STATIC_COLUMNS)),
+            f"{_round(f'static_0.{c}')} AS static_0__{c}__direct" if c in ("totalprice", "acctbal") else f"CAST(static_0.{c} AS BIGINT) AS static_0__{c}__direct" if c == "nation" else f"static_0.{c} AS static_0__{c}__direct" for c, _ in STATIC_COLUMNS)),
         "base_projection": _with(BASE) + f"SELECT {COLUMNS} FROM base ORDER BY case_id LIMIT 1000",
         "static_one_per_case": _with(HISTORY) + "SELECT case_id, num_group1, quantity FROM (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY num_group1, quantity) AS n FROM history) WHERE n = 1",
         "distinct_values_as_sets": _with(HISTORY) + 'SELECT case_id, CAST(count(DISTINCT "linestatus_1M") AS DOUBLE) AS applprev_1__linestatus_1m__n_distinct, CAST(count(DISTINCT "returnflag_1M") AS DOUBLE) AS applprev_1__returnflag_1m__n_distinct FROM history GROUP BY 1',
@@ -193,7 +303,7 @@ def oracle_sql() -> dict[str, str]:
             round(count(*) FILTER (WHERE target = 1) / count(*) FILTER (WHERE target IN (0, 1)), 6) AS default_rate, count(*) = count(DISTINCT case_id) AS case_id_unique FROM base""",
         "rows_per_case": _with(HISTORY) + "SELECT case_id, count(*) AS rows_per_case FROM history GROUP BY 1",
         "row_distribution": _with(HISTORY) + "SELECT min(n) AS min_rows_per_case, round(quantile_cont(n, 0.5), 6) AS median_rows_per_case, round(avg(n), 6) AS mean_rows_per_case, round(quantile_cont(n, 0.95), 6) AS p95_rows_per_case, max(n) AS max_rows_per_case FROM (SELECT count(*) AS n FROM history GROUP BY case_id)",
-        "relationship_profiles": _with(BASE, HISTORY, EVENTS) + _profile_sql("applprev_1", "depth 1", "history", False) + " UNION ALL " + _profile_sql("person_2", "depth 2", "person", True),
+        "relationship_profiles": _with(BASE, HISTORY, EVENTS, STATIC) + " UNION ALL ".join([_profile_sql("static_0", "depth 0", "static_0", 0), _profile_sql("applprev_1", "depth 1", "history", 1), _profile_sql("person_2", "depth 2", "person", 2)]),
         "orphan_cases": "SELECT DISTINCT user_id AS case_id FROM events WHERE user_id NOT IN (SELECT o_orderkey FROM orders)",
         "cases_without_history": "SELECT o_orderkey AS case_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
         "duplicate_grain": "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicate_key_count FROM lineitem",
@@ -243,7 +353,8 @@ def oracle_sql() -> dict[str, str]:
                 WHEN regexp_matches(t, 'credit bureau|bureau|contract|loan|debt') THEN 'bureau/credit history' WHEN regexp_matches(t, 'collateral|property|real estate') THEN 'collateral/property'
                 WHEN regexp_matches(t, 'tax|registry|deduction') THEN 'tax/registry' ELSE 'ambiguous' END AS semantic_category FROM m""",
     }
-    for name in ("target_drift", "numeric_stats", "standardised", "roc_auc", "average_precision", "score_logits", "evaluation"):
+    out |= _planned()
+    for name in ("target_drift", "numeric_stats", "standardised", "roc_auc", "average_precision", "score_logits", "evaluation", "table_summaries", "definition_coverage", "hashed_design", "calibration"):
         # _with() ends in a blank; a further expression follows it by a comma.
         out[name] = out[name].replace(") , ", "), ", 1)
     return out

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casemill import cases
 from casemill.functions.names import logical_name, name_part_column
 from casemill.functions.values import as_date, blank_to_null, boolean_value, logit, missing_flag, token
-from casemill.operators import metrics, model, prep, profile, temporal
+from casemill.operators import metrics, model, prep, profile, registry, temporal
 from casemill.plans import assemble, catalog, selection, specs
-from casemill.session import listed, shared_folder
+from casemill.session import fresh, listed, read_text
 from casemill.sources import export, inventory, store, tables
 from casemill.streaming import arrival
 
@@ -26,16 +28,11 @@ def query(f):
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Floating-point columns rounded, so that the order of summation doesn't show.
 
-    Means of prices and discounts get more places, at which means of few cents are no ties.
+    All get the same small push before, so that what lies just between two roundings goes up, whatever
+    the last bits of a sum are.
     """
-    n = lambda name: max(places, 6) if "discount" in name else max(places, 5) if name.endswith("price__mean") else places
-    return df.select(*[F.round(F.col(f"`{f.name}`"), n(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema])
-
-
-def fresh(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    push = 10.0 ** -(places + 5)
+    return df.select(*[F.round(F.col(f"`{f.name}`") + F.lit(push), places).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`") for f in df.schema])
 
 
 def spec_rows(spark, sf_dir, *transformations: str, table: str | None = None) -> list[specs.FeatureSpec]:
@@ -147,7 +144,7 @@ def joined_validation(spark, sf_dir):
 @query
 def feature_registry(spark, sf_dir):
     """The specifications that the catalog gives."""
-    return selection.specs_frame(spark, cases.specs(spark, sf_dir))
+    return selection.specs_frame(spark, cases.specs(spark, sf_dir)).withColumn("source_columns", F.array_join("source_columns", ","))
 
 
 @query
@@ -159,8 +156,8 @@ def registry_family_counts(spark, sf_dir):
 @query
 def storage_estimate(spark, sf_dir):
     """Bytes that the layer would take."""
-    n = len(cases.specs(spark, sf_dir)) + 5
-    return cases.base(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count")).select("row_count", F.lit(n).cast("long").alias("column_count"), F.floor(F.col("row_count") * n * 8 * 1.35).cast("long").alias("bytes"))
+    rows, columns = cases.base(spark, sf_dir).count(), len(cases.specs(spark, sf_dir)) + 5
+    return spark.createDataFrame([(rows, columns, specs.estimated_bytes(rows, columns))], "row_count long, column_count long, bytes long")
 
 
 # -- catalog and selection ---------------------------------------------------------------------------
@@ -183,21 +180,17 @@ def semantic_categories(spark, sf_dir):
 def table_summaries(spark, sf_dir):
     """What each table holds."""
     frames = {"base": cases.base(spark, sf_dir), **cases.tables(spark, sf_dir)}
-    columns = cases.catalog(spark, sf_dir)
-    rows = [catalog.table_summary(n, df.count(), [c for c in columns if c.logical_table == n]) for n, df in frames.items()]
-    schema = "logical_table string, logical_family string, table_depth string, row_count long, column_count long, historical_grain string, key_or_metadata_columns string, potentially_useful_columns string, ambiguous_columns string, leakage_candidates string, suggestions string"
-    join = lambda r, k: ",".join(r[k])
-    return spark.createDataFrame([(r["logical_table"], r["logical_family"], r["table_depth"], r["row_count"], r["column_count"], r["historical_grain"], *[join(r, k) for k in ("key_or_metadata_columns", "potentially_useful_columns", "ambiguous_columns", "leakage_candidates", "feature_engineering_categories")]) for r in rows], schema)
+    tables_of = catalog.tables_frame(spark, {n: df.count() for n, df in frames.items()})
+    return catalog.table_summaries(catalog.catalog_frame(spark, cases.catalog(spark, sf_dir)), tables_of).drop("about")
 
 
 @query
 def definition_coverage(spark, sf_dir):
     """Columns without definitions and definitions without columns."""
-    columns = sorted({c.column_name for c in cases.catalog(spark, sf_dir)})
-    have = spark.createDataFrame([(c,) for c in columns], "name string")
-    defined = spark.createDataFrame([(c,) for c in cases.DEFINITIONS], "name string")
-    mark = lambda df, kind: df.select("name", F.lit(kind).alias("found_in"))
-    return mark(have.subtract(defined), "tables").unionByName(mark(defined.subtract(have), "definitions")).unionByName(mark(have.intersect(defined), "both"))
+    found = profile.definition_coverage([c.column_name for c in cases.catalog(spark, sf_dir)], list(cases.DEFINITIONS))
+    rows = [(n, k) for k in ("columns_without_descriptions", "definitions_not_in_training_tables") for n in found[k]]
+    rows += [(str(v), k) for k, v in found.items() if isinstance(v, int)]
+    return spark.createDataFrame(rows, "value string, kind string")
 
 
 @query
@@ -235,6 +228,43 @@ def selection_counts(spark, sf_dir):
     return selection.decision_counts(_decisions(spark, sf_dir))
 
 
+def _selected(spark, sf_dir):
+    """(base, tables, specs, manifest) of static tables with columns that the selection keeps, leaves and excludes."""
+    wide = cases.static(spark, sf_dir).withColumns({"eir_270L": F.col("totalprice") / 4, "isdebitcard_729L": F.col("nation") % 2, "workplace_1M": F.concat(F.lit("firm "), F.col("nation").cast("string")), "lastapprdate_640D": F.lit("2020-01-01")})
+    base, found = cases.base(spark, sf_dir), {"static_0": wide}
+    defined = cases.DEFINITIONS | {"eir_270L": "Rate", "workplace_1M": "Employer of the person", "lastapprdate_640D": "Date of it"}
+    columns = catalog.catalog_columns({"base": base.schema, "static_0": wide.schema}, defined)
+    own = specs.registry(columns)
+    stats = selection.feature_stats(assemble.assemble(base, found, own), [s.feature_name for s in own])
+    return base, found, own, selection.manifest(selection.select_features(selection.specs_frame(spark, own), catalog.catalog_frame(spark, columns), stats))
+
+
+@query
+def selection_manifest(spark, sf_dir):
+    """What the manifest of a selection says of columns kept, left to review and excluded."""
+    *_, found = _selected(spark, sf_dir)
+    return spark.createDataFrame([(r["feature_name"], r["decision"]) for r in found["features"]], "feature_name string, decision string")
+
+
+@query
+def modeling_frame(spark, sf_dir):
+    """Selection, export and join: only features that the manifest keeps are in the frame."""
+    base, found, own, manifest = _selected(spark, sf_dir)
+    out = export.Exporter(spark, fresh(spark, "families"))
+    keep = selection.kept_specs(own, manifest)
+    out.run(base, found, keep)
+    return rounded(out.joined(selection.kept_names(manifest)), 4)
+
+
+@query
+def export_validation(spark, sf_dir):
+    """Whether exported files have the rows, cases and columns that they should have."""
+    out, base = export.Exporter(spark, fresh(spark, "families")), cases.base(spark, sf_dir)
+    own = cases.specs(spark, sf_dir)
+    out.run(base, cases.tables(spark, sf_dir), own, ["static applicant/bureau snapshots"])
+    return spark.createDataFrame([(x["file"], x["exported"], x.get("rows"), x["ok"]) for x in out.validate(base.count(), own)], "file string, exported boolean, rows long, ok boolean")
+
+
 @query
 def reviewed_columns(spark, sf_dir):
     """The columns that were decided by hand."""
@@ -293,6 +323,15 @@ def ingestion_records(spark, sf_dir):
     return s.records("ingested_tables").join(s.last_run().select("run_id"), "run_id", "left_semi").select("table_name", "status", "source_rows", "loaded_rows")
 
 
+@query
+def store_validation(spark, sf_dir):
+    """Loaded tables against their files, after one of them was reset (Q9)."""
+    s, raw = store.Store(spark, fresh(spark, "store")), _raw_folder(spark, sf_dir)
+    s.ingest(raw)
+    s.reset(["static_0"])
+    return spark.createDataFrame([(x["table"], x["loaded"], x.get("source_rows"), x.get("loaded_rows"), x["ok"]) for x in s.validate(raw)], "table_name string, loaded boolean, source_rows long, loaded_rows long, ok boolean")
+
+
 @query
 def staged_base(spark, sf_dir):
     """A staging view over the raw base."""
@@ -359,10 +398,10 @@ def row_distribution(spark, sf_dir):
 
 @query
 def relationship_profiles(spark, sf_dir):
-    """How two histories relate to the base."""
+    """How all tables relate to the base."""
     base = cases.base(spark, sf_dir)
-    a, b = (profile.relationship_profile(n, cases.tables(spark, sf_dir)[n], base) for n in ("applprev_1", "person_2"))
-    return rounded(a.unionByName(b))
+    a, b, c = (profile.relationship_profile(n, df, base) for n, df in cases.tables(spark, sf_dir).items())
+    return rounded(a.unionByName(b).unionByName(c))
 
 
 @query
@@ -386,13 +425,13 @@ def duplicate_grain(spark, sf_dir):
 @query
 def quality_checks(spark, sf_dir):
     """Pass, warning or fail of all rules (Q1-Q8)."""
-    return profile.checks_frame(spark, profile.quality_checks(cases.base(spark, sf_dir), {k: v for k, v in cases.tables(spark, sf_dir).items() if k != "static_0"}))
+    return profile.checks_frame(spark, profile.quality_checks(cases.base(spark, sf_dir), cases.tables(spark, sf_dir)))
 
 
 @query
 def quality_summary(spark, sf_dir):
     """Checks by status."""
-    found = profile.status_counts(profile.quality_checks(cases.base(spark, sf_dir), {"applprev_1": cases.history(spark, sf_dir)}))
+    found = profile.status_counts(profile.quality_checks(cases.base(spark, sf_dir), cases.tables(spark, sf_dir)))
     return spark.createDataFrame(list(found.items()), "status string, checks long")
 
 
@@ -472,7 +511,7 @@ def limited_split_scan(spark, sf_dir):
 def split_row_counts(spark, sf_dir):
     """Expected rows of each split under a limit."""
     split, _ = _split(spark, sf_dir)
-    return split.groupBy("split").agg(F.least(F.count(F.lit(1)), F.lit(1000)).alias("rows"))
+    return temporal.expected_row_counts(split, 1000)
 
 
 @query
@@ -528,14 +567,16 @@ def class_weights(spark, sf_dir):
 
 @query
 def hashed_design(spark, sf_dir):
-    """Numbers, booleans and hashed categories as one vector (M3); its size and sum of entries."""
+    """Numbers, booleans and hashed categories as one vector (M3): its size, its sums by part, and the number of categories."""
     from pyspark.ml.functions import vector_to_array
 
     m = _modeling(spark, sf_dir)
     p = prep.predictor_sets(m.schema, PREDICTORS)
-    d = prep.design(m, p, prep.stats_dict(prep.numeric_stats(m, list(p.numeric))), buckets=64)
-    v = vector_to_array("features")
-    return d.select("case_id", F.size(v).cast("long").alias("size"), F.round(F.aggregate(F.slice(v, 5, 64), F.lit(0.0), lambda a, x: a + x), 6).alias("hashed"))
+    d = prep.design(m, p, prep.stats_dict(prep.numeric_stats(m, list(p.numeric))))
+    v, n = vector_to_array("features"), len(p.numeric)
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+    out = d.select("case_id", F.size(v).cast("long").alias("size"), total(F.slice(v, 1, n)).alias("numbers"), F.get(v, F.lit(n)).alias("booleans"), total(F.slice(v, n + 2, prep.HASH_BUCKETS)).alias("hashed"))
+    return rounded(out, 5)
 
 
 def _baseline(spark, sf_dir):
@@ -545,18 +586,50 @@ def _baseline(spark, sf_dir):
 
 @query
 def logistic_scores(spark, sf_dir):
-    """Scores of the validation split (M4-M6)."""
+    """Scores of the validation split (M4, M5)."""
     m, split = _baseline(spark, sf_dir)
     p = prep.predictor_sets(m.schema, PREDICTORS)
-    base = model.fit(temporal.split_scan(m, split, "train", PREDICTORS), p, iterations=10, buckets=64)
+    base = model.fit(temporal.split_scan(m, split, "train", PREDICTORS), p)
     return base.score(temporal.split_scan(m, split, "validation", PREDICTORS))
 
 
+@query
+def baseline_artifacts(spark, sf_dir):
+    """A whole run, written and read again: rows and positives of each split, and of its deciles."""
+    folder = fresh(spark, "run")
+    model.write_artifacts(spark, model.run_baseline(*_baseline(spark, sf_dir), PREDICTORS), folder)
+    metrics = json.loads(read_text(spark, f"{folder}/metrics.json"))
+    stored = spark.read.parquet(f"{folder}/scores").groupBy("split").agg(F.count(F.lit(1)).alias("scores"))
+    rows = spark.createDataFrame([(s, m["rows"], m["positive_cases"], len(m["deciles"]), sum(d["positive_cases"] for d in m["deciles"]), 0 <= m["roc_auc"] <= 1) for s, m in metrics.items()], "split string, rows long, positive_cases long, deciles long, decile_positives long, auc_in_range boolean")
+    return rows.join(stored, "split")
+
+
+@query
+def model_registry(spark, sf_dir):
+    """Records of two runs, one written twice, and their comparison."""
+    folder, path = fresh(spark, "run"), f"{fresh(spark, 'registry')}/models.json"
+    m, split = _baseline(spark, sf_dir)
+    model.write_artifacts(spark, model.run_baseline(m, split, PREDICTORS[:2], iterations=50), folder)
+    ranges = temporal.checked_diagnostics(split)
+    for name in ("first", "second", "first"):
+        found = registry.write(spark, path, registry.from_artifacts(spark, name, folder, ranges, role="baseline"), official="first")
+    kept = {x["model_name"]: x["temporal_ranges"]["test"] for x in found["models"]}
+    rows = [(r["model"], r["official"], kept[r["model"]]["week_start"], kept[r["model"]]["week_end"]) for r in registry.comparison(found)]
+    return spark.createDataFrame(rows, "model string, official boolean, test_week_start int, test_week_end int")
+
+
+@query
+def training_throughput(spark, sf_dir):
+    """Rows and predictors of a timed fit on 1000 cases, and whether a full fit fits an hour (M8)."""
+    t = model.throughput(*_baseline(spark, sf_dir), PREDICTORS, row_limit=1000)
+    return spark.createDataFrame([(t["rows"], t["predictors"], t["go"])], "rows long, predictors long, go boolean")
+
+
 @query
 def weight_diagnostic(spark, sf_dir):
-    """Validation metrics for several class weights (M7)."""
+    """Validation metrics for all class weights (M7)."""
     m, split = _baseline(spark, sf_dir)
-    rows = model.weight_diagnostic(m, split, PREDICTORS, weights=(None, "balanced"), iterations=5, buckets=64)
+    rows = model.weight_diagnostic(m, split, PREDICTORS)
     return spark.createDataFrame([(r["class_weight"], float(r["roc_auc"]), float(r["ks"]), float(r["top_decile_lift"])) for r in rows], "class_weight string, roc_auc double, ks double, top_decile_lift double")
 
 
@@ -636,9 +709,7 @@ def score_logits(spark, sf_dir):
 @query
 def labelled_documents(spark, sf_dir):
     """Labels as cases with documents as their static table."""
-    d = cases.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("case_id"), "lang", "n_chars")
-    first = Window.partitionBy("case_id").orderBy("lang", "n_chars")
-    d = d.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    d = assemble.one_per_case(cases.read(spark, sf_dir, "documents").select(F.col("doc_id").alias("case_id"), "lang", "n_chars"))
     return cases.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("case_id"), F.col("quality").cast("long").alias("target"), F.col("toxic").cast("long").alias("toxic")).join(d, "case_id", "left")
 
 
