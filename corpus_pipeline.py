@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and, but for the
 last, returns the columns of documents.  ``run`` writes each stage's result as Parquet and reads it
-again for the next.
+again for the next; a stage's intermediate data and its input go when its result is written.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from casemill.llm import decontam, packing, quality, secrets, simhash
-from casemill.llm.common import written
+from casemill.llm.common import MADE, discard, written
 from casemill.llm.queries import table, tokenizer_path
 
 
@@ -52,7 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
+        before = set(MADE)
         docs = written(stage(spark, docs, sf_dir), name)
+        result = MADE[-1]  # where written() has put it
+        discard(spark, [p for p in MADE if p not in before and p != result] + last)
+        last = [result]
     return docs
