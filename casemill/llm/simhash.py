@@ -298,13 +298,20 @@ def drop_near_copies(docs: DataFrame, *, shingle: int = 4, distance: int = 4) ->
     own = docs.columns
     packed = docs.select(F.struct(*own).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"))
     marked, named = _grouped(packed, shingle, distance, "_h")
-    first = marked.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min(F.struct("doc_id", "_h")).alias("_first"))
-    kept = written(first.join(named, "fp").groupBy("root").agg(F.min("_first").alias("_first")).select("_first.*", F.lit(True).alias("_keep")), "kept")
-    rows = packed.drop("text").where(F.col("doc_id").isNotNull() & maybe_among(kept, F.xxhash64("doc_id", "_h"), F.xxhash64("doc_id", "_h")))
-    stay = hot_join(rows, kept, ["doc_id", "_h"], ["doc_id"]).where("_keep")
+    # Of each text of each doc_id: how many rows, its group, and whether it is the one that stays.
+    texts = marked.where(F.col("doc_id").isNotNull()).groupBy("fp", "doc_id", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    texts = written(hot_join(texts, named.drop("component_id"), ["fp"], ["doc_id", "_h"]), "texts")
+    first = texts.groupBy("root").agg(F.min(F.struct("doc_id", "_h")).alias("_first"))
+    judged = hot_join(texts, first, ["root"], ["doc_id", "_h"]).select("doc_id", "_h", (F.struct("doc_id", "_h") == F.col("_first")).alias("_stay"), "_n")
+    touched = written(judged.where(~F.col("_stay") | (F.col("_n") > 1)).drop("_n"), "touched")
+    # Only rows that may go, or are there more than once, are shuffled; the others stay where they are read.
+    key = F.xxhash64("doc_id", "_h")
+    rows, maybe = packed.drop("text"), F.coalesce(maybe_among(touched, key, key), F.lit(False)) & F.col("doc_id").isNotNull()
+    asked = hot_join(rows.where(maybe), touched, ["doc_id", "_h"], ["doc_id"])
     order = F.struct(*[F.col("_row")[c] for c in own if orderable(docs.schema[c].dataType)])
-    known = stay.groupBy("doc_id", "_h").agg(F.min_by("_row", order).alias("_row"))
-    return known.select("_row").unionByName(packed.where(F.col("doc_id").isNull()).select("_row")).select("_row.*")
+    once = asked.where("_stay").groupBy("doc_id", "_h").agg(F.min_by("_row", order).alias("_row"))
+    parts = [rows.where(~maybe), asked.where("_stay is null"), once]
+    return parts[0].select("_row").unionByName(parts[1].select("_row")).unionByName(parts[2].select("_row")).select("_row.*")
 
 
 def orderable(kind: T.DataType) -> bool:
