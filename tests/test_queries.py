@@ -38,10 +38,7 @@ def test_query_meets_its_sql(spark, duck, sf_dir, name):
     assert plain(got) == plain(want)
 
 
-SLOW = {"weight_diagnostic", "logistic_scores"}  # covered by the tests of the model
-
-
-@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(oracle.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(oracle.oracle_sql())))
 def test_query_without_sql_runs(spark, sf_dir, name):
     assert queries.queries()[name](spark, sf_dir).count() >= 0
 
