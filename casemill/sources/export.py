@@ -185,7 +185,8 @@ class Exporter:
     def joined(self, keep: list[str] | None = None) -> DataFrame:
         """The base with all exported families, left joined on case_id in a fixed order.
 
-        With ``keep`` only these features; it is an error if an export lacks one.
+        With ``keep`` only these features; it is an error if an export lacks one.  Every part has a row
+        for each case, however few bytes its file takes, so none is broadcast: all joins are by sorting.
         """
         out = self.spark.read.parquet(self.path(BASE_FILE))
         for slug in SLUGS.values():
@@ -195,7 +196,7 @@ class Exporter:
                 twice = sorted(set(out.columns) & set(part.columns) - {"case_id"})
                 if twice:
                     raise ExportError(f"{slug} repeats columns {twice[:5]}")
-                out = out.join(part, "case_id", "left")
+                out = out.join(part.hint("merge"), "case_id", "left")
         lacking = sorted(set(keep or ()) - set(out.columns))
         if lacking:
             raise ExportError(f"features to keep that no export has: {lacking[:5]}")

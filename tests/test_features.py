@@ -148,6 +148,17 @@ def test_export(spark, tmp_path):
         out.run(base, tables, own, ["other histories"])
 
 
+def test_joined_broadcasts_no_part(spark, tmp_path):
+    """Few bytes of a file may be many cases, so an estimate of its size must not bring it to the driver."""
+    base, tables = frames(spark)
+    out = export.Exporter(spark, str(tmp_path))
+    out.run(base, tables, specs.registry(columns()))
+    df = out.joined().select("case_id")
+    assert df.count() == 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_failed_write_keeps_the_old(spark, tmp_path):
     path, schema = str(tmp_path / "x"), T.StructType.fromDDL("case_id long, x double")
     assert export.write_batches(spark, [[(1, None), (2, None)], [(3, 1.0), (4, 2.0)]], schema, path) == 4
