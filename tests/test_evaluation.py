@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +164,26 @@ def test_baseline(spark, tmp_path):
     assert [m["model_name"] for m in both["models"]] == ["m", "n"] and both["official_benchmark"] == "m"
 
 
+def test_throughput_tells_fixed_costs_from_rows(spark, monkeypatch):
+    """A fit on few rows is nearly all fixed cost, which a fit on all rows has once; a slow fit is still told."""
+    week = (F.col("id") / 2000).cast("int")
+    df = spark.range(20000).select(F.col("id").alias("case_id"), (F.col("id") % 2).alias("target"), F.format_string("2020-01-%02d", week + 1).alias("date_decision"), week.alias("WEEK_NUM"), F.lit(202001).alias("MONTH"), (F.col("id") % 7).cast("double").alias("x"))
+    split, _ = temporal.temporal_split(df)
+    t = model.throughput(df, split, ["x"], row_limit=10, most_seconds=60)
+    assert t["rows"] == 10 and t["go"] and t["full_fit_seconds"] <= 60
+    fit, seen = model.fit_matrix, []
+
+    def slow(matrix, **kw):
+        seen.append(matrix.count())
+        time.sleep(seen[-1] * 2e-3)
+        return fit(matrix, **kw)
+
+    monkeypatch.setattr(model, "fit_matrix", slow)
+    t = model.throughput(df, split, ["x"], row_limit=10, most_seconds=10)
+    assert t["rows"] == 10 and not t["go"] and 28 <= t["full_fit_seconds"]
+    assert seen == [10 * 10**i for i in range(len(seen))]
+
+
 def test_fit_meets_its_optimum(spark):
     """The gradient of the penalised loss is zero at the weights, by plain code on the same matrix."""
     import numpy as np
