@@ -60,7 +60,6 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> Dat
                     out, held = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
-        encoder.forget()
 
     return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), run, PIECES)
 

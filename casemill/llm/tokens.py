@@ -27,9 +27,12 @@ import struct
 import sys
 import uuid
 from array import array
+from itertools import islice
 from operator import attrgetter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +42,7 @@ from casemill.llm.common import Held, fresh_path, map_batches, open_fs, qualifie
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
 FRAME_BYTES, FILE_BYTES, FILE_DOCS = 1 << 18, 1 << 28, 500_000  # of ids, before compression
 MANIFEST = "_tokens.json"
-WORDS_KEPT, PARTS_KEPT = 650_000, 100_000
+WORDS_KEPT, PARTS_KEPT = 450_000, 100_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -50,7 +53,10 @@ def byte_letters() -> dict[int, str]:
 
 
 class Kept(dict):
-    """Values by key, made when they are first asked for; emptied when there are ``most``."""
+    """Values by key, made when they are first asked for; at ``most`` of them, the last tenth goes.
+
+    What came first is what comes often, so most of it stays from task to task.
+    """
 
     def __init__(self, make, most: int):
         super().__init__()
@@ -59,7 +65,8 @@ class Kept(dict):
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
         if len(self) >= self.most:
-            self.clear()
+            for old in list(islice(reversed(self), max(1, self.most // 10))):
+                del self[old]
         self[key] = value
         return value
 
@@ -109,16 +116,17 @@ class Encoder:
         shape = spec["normalizer"], spec["pre_tokenizer"]
         sure = all(spec["model"].get(k) == v for k, v in self.MODEL.items())
         self.kind = next((k for k, x in self.SHAPES.items() if shape == x and sure), None)
+        # What encode_all cuts texts before, and the pieces that it leaves to encode: by the kind, odd
+        # characters, special tokens, and blanks that follow one another or end a text.
+        self.blank, self.alone = np.zeros(256, bool), None
+        self.blank[[*map(ord, " \n\t\r" if self.kind == "word" else " \n")]] = True
+        if self.kind and not any(re.search(r"\s", x) for x in self.special):
+            self.alone = "|".join([self.ODD.pattern, *([r"[\t\r]", r"\A[ \n]\z"] if self.kind == "byte" else []), *map(re.escape, self.special)])
 
     @classmethod
     def of(cls, path: str) -> Encoder:
         return Held.of((cls, path), lambda: cls(path))
 
-    def forget(self) -> None:
-        """Gives back the kept words: at the end of a task, since the worker may idle after it."""
-        self.words.clear()
-        self.parts.clear()
-
     def whole(self, text: str) -> bytes:
         ids = self.model.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -133,16 +141,60 @@ class Encoder:
         head, *rest = text.split(" ")  # single blanks: each begins the part after it
         return self._parts(head) + b"".join(map(self.words.__getitem__, rest))
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of an Arrow array of strings; none for null.
+
+        The texts are cut before each blank, and each piece that differs is looked up once.  The pieces
+        share the array's bytes.  A text with a piece that can't stand by itself is encoded alone.
+        """
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset :][: len(texts) + 1] if pa.types.is_string(texts.type) and len(texts) else np.zeros(1, np.int32)
+        low, high = int(offsets[0]), int(offsets[-1])
+        if self.alone is None or low == high or texts.null_count and (offsets[1:] > offsets[:-1])[~texts.is_valid().to_numpy(zero_copy_only=False)].any():
+            return [self.encode(x or "") for x in texts.to_pylist()]
+        cut = self.blank[np.frombuffer(texts.buffers()[2], np.uint8)[low:high]]
+        cut[offsets[:-1][offsets[1:] > offsets[:-1]] - low] = True
+        starts = np.flatnonzero(cut).astype(np.int32) + np.int32(low)
+        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, np.int32(high))), texts.buffers()[2]).dictionary_encode()
+        own = pieces.dictionary
+        alone = pc.match_substring_regex(own, self.alone).to_numpy(zero_copy_only=False)
+        after = (np.frombuffer(own.buffers()[2], np.uint8)[np.frombuffer(own.buffers()[1], np.int32)[: len(own)]] == 32) & ~alone  # a blank
+        rest = ~after & ~alone
+        joined = own.filter(pa.array(after))  # of words with one blank before each
+        known = joined.buffers()[2].to_pybytes()[: np.frombuffer(joined.buffers()[1], np.int32)[len(joined)]].decode().split(" ")[1:] if len(joined) else []
+        ids = [*map(self.words.__getitem__, known), *map(self._first, own.filter(pa.array(rest)).to_pylist()), b""]
+        rank = np.full(len(own), len(ids) - 1, np.int32)
+        rank[after], rank[rest] = np.arange(len(known), dtype=np.int32), np.arange(len(known), len(ids) - 1, dtype=np.int32)
+        which = rank[pieces.indices.to_numpy()]
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        n = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        at = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[which] - upto[:-1], n)
+        at += np.arange(upto[-1], dtype=np.int32)
+        data = np.frombuffer(b"".join(ids), np.int32)[at].tobytes()
+        first = np.searchsorted(starts, offsets)  # of each text, its first piece
+        bounds = (4 * upto[first].astype(np.int64)).tolist()
+        out = [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        if alone.any():
+            for i in np.unique(np.searchsorted(offsets, starts[which == len(ids) - 1], "right") - 1).tolist():
+                out[i] = self.encode(texts[i].as_py())
+        return out
+
+    def _first(self, piece: str) -> bytes:
+        """The ids of a piece that doesn't begin with a blank."""
+        return self.words[piece.strip()] if self.kind == "word" else self._parts(piece)
+
     def _word(self, word: str) -> bytes:
         """The ids of a word, with the blank before it where that counts."""
+        if word.isalpha():  # most words, and so without further calls
+            if self.kind == "byte":
+                return self._ids("\u0120" + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.letters))
+            low = word.lower()
+            return self._merged(low) if low == word else self.words[low]
         if word[-1:] in self.STOPS and word[:-1].isalpha():
             return self.words[word[:-1]] + self.parts[word[-1]]
         if self.kind == "byte":
-            return self._merged(" " + word) if word.isalpha() else self._parts(" " + word)
-        low = word.lower()
-        if not low.isalpha():
-            return b"".join([self.words[x] if x.isalpha() else self.parts[x] for x in self.WORD_PARTS.findall(low)])
-        return self._merged(low) if low == word else self.words[low]
+            return self._parts(" " + word)
+        return b"".join([self.words[x] if x.isalpha() else self.parts[x] for x in self.WORD_PARTS.findall(word.lower())])
 
     def _parts(self, piece: str) -> bytes:
         return b"".join([self.words[x[1:]] if x[0] == " " and x[1:].isalpha() else self.parts[x] for x in self.BYTE_PARTS.findall(piece)])
@@ -150,6 +202,9 @@ class Encoder:
     def _merged(self, part: str) -> bytes:
         """The ids of a part, by the library's model."""
         plain = part.replace(" ", "\u0120") if part.isascii() and part.replace(" ", "").isalnum() else part.encode().decode("latin-1").translate(self.letters)
+        return self._ids(plain)
+
+    def _ids(self, plain: str) -> bytes:
         ids = array("I", map(token_id, self.merge(plain)))
         if sys.byteorder == "big":
             ids.byteswap()
@@ -260,16 +315,15 @@ def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, en
             out.append((TaskContext.get().partitionId(), len(out), name, len(writer.directory), writer.total // 4, len(keys) < len(writer.directory), min(keys, default=None), max(keys, default=None)))
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
                 if writer is None:
                     fs.create_dir(root, recursive=True)
                     name = f"part-{uuid.uuid4().hex}.zst"
                     writer = FileWriter(fs.open_output_stream(f"{root}/{name}", compression=None), level)
-                writer.add(key, encoder.encode(text or "") + end)
+                writer.add(key, ids + end)
                 if writer.total >= file_bytes or len(writer.directory) >= file_docs:
                     done()
                     writer = None
-        encoder.forget()
         if writer is not None:
             done()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, (_, t) in enumerate(fields)], schema=pa.schema(fields))

@@ -1,6 +1,7 @@
 import struct
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from casemill.llm import packing, tokens
@@ -35,6 +36,35 @@ def test_full_caches_and_random_texts(name, monkeypatch):
         assert encoder.encode(t) == encoder.whole(t), repr(t)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_batches_equal_whole(name):
+    import random
+
+    encoder, rng = tokens.Encoder(tokenizer_path(name)), random.Random(9)
+    marks = [*" \n\t\r.,", "  ", "\n\n", "a", "Foo", "foo.", "It's", "'ll", "12", "...", "é", "ſ", "\xa0", "\u3000", "\x0b", "\x1c", "\x00", "漢", "<|endoftext|>", "\U0001f642"]
+    texts = [None, *ODD, "".join(ODD), *("".join(rng.choices(marks, k=rng.randrange(9))) for _ in range(3000)), None, ""]
+    column, want = pa.array(texts, pa.string()), [encoder.whole(t or "") for t in texts]
+    for size in (1, 7, 1000):
+        assert [x for i in range(0, len(texts), size) for x in encoder.encode_all(column.slice(i, size))] == want
+    assert encoder.encode_all(column.cast(pa.large_string())) == want and encoder.encode_all(column[:0]) == []
+
+
+def test_a_batch_asks_once_for_each_word_and_old_words_stay():
+    encoder, asked = tokens.Encoder(tokenizer_path("byte_bpe_50k.json")), []
+
+    class Counted(tokens.Kept):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    encoder.words = Counted(encoder._word, 20)
+    encoder.encode_all(pa.array([". the cat", "- the cat the cat"] * 5))
+    assert sorted(asked) == ["cat", "the"]
+    for i in range(100):
+        encoder.words["x" * (i + 1)]
+    assert len(encoder.words) <= 20 and {"the", "cat"} <= set(encoder.words)
+
+
 def test_latin_letters_cut_alike():
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         encoder = tokens.Encoder(tokenizer_path(name))
