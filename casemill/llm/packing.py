@@ -48,8 +48,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> Dat
         encoder, task, counts = Encoder.of(tokenizer), TaskContext.get().partitionId(), [0] * (size + 1)
         for batch in batches:
             out, held = [], 0
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encoder.encode(text or "") + end
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+                ids += end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, size)):
                     part = ids[4 * start : 4 * (start + n)]
                     out.append((task, counts[n], key, k, start, n, part, zlib.crc32(part)))
@@ -60,6 +60,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> Dat
                     out, held = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+        encoder.rest()
 
     return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), run, PIECES)
 

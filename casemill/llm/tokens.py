@@ -42,7 +42,7 @@ from casemill.llm.common import Held, fresh_path, map_batches, open_fs, qualifie
 MAGIC_SKIPPABLE, MAGIC_SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # Fixed values: the format's magic numbers.
 FRAME_BYTES, FILE_BYTES, FILE_DOCS = 1 << 18, 1 << 28, 500_000  # of ids, before compression
 MANIFEST = "_tokens.json"
-WORDS_KEPT, PARTS_KEPT = 450_000, 100_000
+WORDS_KEPT, PARTS_KEPT, IDLE_KEPT = 300_000, 100_000, 150_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -65,11 +65,14 @@ class Kept(dict):
     def __missing__(self, key: str) -> bytes:
         value = self.make(key)
         if len(self) >= self.most:
-            for old in list(islice(reversed(self), max(1, self.most // 10))):
-                del self[old]
+            self.cut(self.most - max(1, self.most // 10))
         self[key] = value
         return value
 
+    def cut(self, most: int) -> None:
+        for key in list(islice(reversed(self), max(0, len(self) - most))):
+            del self[key]
+
 
 token_id = attrgetter("id")
 LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
@@ -127,6 +130,11 @@ class Encoder:
     def of(cls, path: str) -> Encoder:
         return Held.of((cls, path), lambda: cls(path))
 
+    def rest(self) -> None:
+        """Gives back half of the kept words, and Arrow's free memory: at the end of a task, since the worker may idle after it."""
+        self.words.cut(IDLE_KEPT)
+        pa.default_memory_pool().release_unused()
+
     def whole(self, text: str) -> bytes:
         ids = self.model.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -324,6 +332,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, *, tokenizer: str, en
                 if writer.total >= file_bytes or len(writer.directory) >= file_docs:
                     done()
                     writer = None
+        encoder.rest()
         if writer is not None:
             done()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, (_, t) in enumerate(fields)], schema=pa.schema(fields))
